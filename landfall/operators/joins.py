@@ -140,7 +140,7 @@ class HotKeys:
         if not self.values:
             return F.lit(False)
         types = [table.schema[k].dataType for k in self.keys]
-        literals = [[F.lit(v).cast(t) for v, t in zip(row, types)] for row in self.values]
+        literals = [[F.lit(v).try_cast(t) for v, t in zip(row, types)] for row in self.values]
         likely = F.xxhash64(*self.keys).isin([F.xxhash64(*row) for row in literals])
         exact = F.struct(*self.keys).isin([F.struct(*row) for row in literals])
         return _complete(self.keys) & likely & exact

@@ -26,7 +26,7 @@ from landfall.sources import (
     write_months,
     write_table,
 )
-from landfall.sources.layout import DIMENSIONS, MONTHLY
+from landfall.sources.layout import DIMENSIONS
 
 
 def refresh_dimensions(
@@ -75,14 +75,17 @@ def run_months(
     """Fill some months of the facts and their mart in one pass, check and report."""
     months = list(months)
     arrivals = read_arrivals(spark, raw.path("arrivals"), months, raw.arrivals_format)
-    written = {
-        "immigrant": write_months(immigrant(arrivals, F.col("i94_dt")), lake.path("immigrant"), mode=mode),
-        "immigration": write_months(immigration(arrivals, F.col("i94_dt")), lake.path("immigration"), mode=mode),
-    }
-    if any(months_written < set(months) for months_written in written.values()):
+    written, tables = {}, {}
+
+    def store(name: str, table: DataFrame, **options) -> None:
+        written[name] = write_months(table, lake.path(name), mode=mode, **options)
+        tables[name] = read_table(spark, lake.path(name), table.schema)
+
+    store("immigrant", immigrant(arrivals, F.col("i94_dt")))
+    store("immigration", immigration(arrivals, F.col("i94_dt")))
+    if any(found < set(months) for found in written.values()):
         # The lake may still hold an empty month's earlier rows; no mart is made of them.
-        facts = {t: read_table(spark, lake.path(t)) for t in written}
-        require_pass(month_report(facts, months, written))
+        return require_pass(month_report(tables, months, written))
     mart = immigration_demographic(
         read_months(spark, lake.path("immigrant"), months),
         read_months(spark, lake.path("immigration"), months),
@@ -93,10 +96,7 @@ def run_months(
         per_row=per_row,
         policy=policy,
     )
-    written["immigration_demographic"] = write_months(
-        mart, lake.path("immigration_demographic"), mode=mode, rebalance=len(months) > 1
-    )
-    tables = {t: read_table(spark, lake.path(t)) for t in MONTHLY}
+    store("immigration_demographic", mart, rebalance=len(months) > 1)
     return require_pass(month_report(tables, months, written))
 
 

@@ -145,16 +145,17 @@ def read_arrivals(
 
     ``template`` holds ``{month}`` once. Every month is a scan of its own, so a
     task reads rows of one month only and the month-partitioned write that follows
-    needs no shuffle. ``file_format`` names any installed data source.
+    needs no shuffle. ``file_format`` names any installed data source. Of Parquet
+    and ORC files the first month's schema serves all months of the call.
     """
     keys = [months] if isinstance(months, str) else list(months)
     if not keys:
         raise ValueError("no months given")
-    scans = [
-        spark.read.format(file_format)
-        .options(**options)
-        .load(template.format(month=key))
-        .withColumn("i94_dt", F.lit(key))
-        for key in keys
-    ]
+    reader = spark.read.format(file_format).options(**options)
+    scans = []
+    for key in keys:
+        scan = reader.load(template.format(month=key))
+        if not scans and file_format in ("parquet", "orc"):
+            reader = reader.schema(scan.schema)
+        scans.append(scan.withColumn("i94_dt", F.lit(key)))
     return reduce(lambda a, b: a.unionByName(b), scans)

@@ -6,12 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 MONTH = "i94_dt"
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A lake table. With ``schema`` it may also be one that no month has filled yet."""
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
 
 
 def read_months(spark: SparkSession, path: str, months: str | Sequence[str]) -> DataFrame:
