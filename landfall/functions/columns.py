@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 WHITESPACE = " \t\n\r\f\v"
 DECIMAL_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 DAY_ZERO = dt.date(1960, 1, 1)
-DAY_TEXT = "MMddyyyy"
+DAY_PATTERN = "MMddyyyy"
+DAY_TEXT = r"^(0[1-9]|1[0-2])(0[1-9]|[12]\d|3[01])\d{4}$"
 MONTH_NAMES = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
 
@@ -65,9 +66,12 @@ def days_to_date(days: Column, day_zero: dt.date = DAY_ZERO) -> Column:
     return F.when(whole.between(first, last), F.date_add(_date(day_zero), whole))
 
 
-def text_to_date(text: Column, pattern: str = DAY_TEXT) -> Column:
-    """A date written as eight digits; anything else, such as ``D/S``, is null."""
-    day = F.try_to_date(text, pattern)
+def text_to_date(text: Column) -> Column:
+    """A date written as eight digits; anything else, such as ``D/S``, is null.
+
+    The test of the text comes first because a failed parse costs far more than it.
+    """
+    day = F.when(text.rlike(DAY_TEXT), F.try_to_date(text, DAY_PATTERN))
     return F.when(day >= _date(dt.date.min), day)
 
 

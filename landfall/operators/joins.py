@@ -10,7 +10,7 @@ paths give the same rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 LEFT_SALT, RIGHT_SALT, MATCHED = "__left_salt", "__right_salt", "__matched"
+BUCKETS = 4096
 
 
 @dataclass(frozen=True)
@@ -35,6 +36,10 @@ class JoinPolicy:
     hot_share: float | None = None
     salts: int | None = None
 
+    def allows(self, right: Profile) -> bool:
+        """Whether a table may be broadcast."""
+        return right.size is not None and right.rows <= self.broadcast_rows and right.size <= self.broadcast_bytes
+
     def share(self, table: DataFrame) -> float:
         return self.hot_share or min(0.05, max(0.001, 4 / _partitions(table)))
 
@@ -65,9 +70,19 @@ def attach_lookup(
     has none. ``keys_from`` is a cheaper table with the key distribution of ``left``,
     such as the scan it was joined from.
     """
-    if fits_broadcast(lookup, policy):
+    if how not in ("inner", "left"):
+        raise ValueError(f"unknown join {how!r}")
+    right = profile(lookup, keys if "right" in spread else (), widths=True)
+    if policy.allows(right):
         return left.join(F.broadcast(lookup), list(keys), how)
-    return _spread_join(left, lookup, keys, how, policy, spread, keys_from)
+    none = HotKeys(tuple(keys))
+    share = policy.share(left)
+    hot_left = hot_keys(left if keys_from is None else keys_from, keys, share) if "left" in spread else none
+    hot_right = hot_keys(lookup, keys, share, right) if "right" in spread else none
+    if how == "inner":
+        # An inner join drops null keys before it shuffles.
+        hot_left = replace(hot_left, nulls=False)
+    return _spread_join(left, lookup, keys, how, hot_left, replace(hot_right, nulls=False), policy.spread(left))
 
 
 def join_facts(
@@ -77,17 +92,12 @@ def join_facts(
     how: str = "left",
     *,
     policy: JoinPolicy = DEFAULT,
-    spread: Sequence[str] = ("left", "right"),
     keys_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Join two tables that both grow with the data.
-
-    The row count alone, which Parquet answers from its footers, rules out the
-    broadcast of a large right side.
-    """
-    if right.count() <= policy.broadcast_rows and fits_broadcast(right, policy):
-        return left.join(F.broadcast(right), list(keys), how)
-    return _spread_join(left, right, keys, how, policy, spread, keys_from)
+    """Join two tables that both grow with the data, either of which may have hot keys."""
+    return attach_lookup(
+        left, right, keys, how, policy=policy, spread=("left", "right"), keys_from=keys_from
+    )
 
 
 def decode(
@@ -108,22 +118,46 @@ def decode(
     return attach_lookup(facts, named, [key], "left", policy=policy, keys_from=keys_from)
 
 
-def fits_broadcast(table: DataFrame, policy: JoinPolicy = DEFAULT) -> bool:
-    """Whether the rows and bytes of a table, counted now, are within the bound."""
-    widths = [_width(f.name, f.dataType) for f in table.schema.fields]
-    if any(w is None for w in widths):
-        return False
-    row_bytes = reduce(lambda a, b: a + b, widths, F.lit(0).cast("bigint"))
-    rows, size = table.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes), F.lit(0))).first()
-    return rows <= policy.broadcast_rows and size <= policy.broadcast_bytes
+@dataclass(frozen=True)
+class Profile:
+    """Rows and bytes of a table, and its rows per bucket of key hashes."""
+
+    rows: int
+    size: int | None
+    nulls: int
+    buckets: dict[int, int]
+
+
+def profile(table: DataFrame, keys: Sequence[str] = (), *, widths: bool = False) -> Profile:
+    """Count a table in one pass that ships a row per bucket and task, and no key."""
+    width = _width(table) if widths else None
+    counts = [F.count(F.lit(1)).alias("n"), F.sum(F.lit(0) if width is None else width).alias("size")]
+    if keys:
+        found = table.groupBy(_bucket(keys).alias("bucket")).agg(*counts).collect()
+    else:
+        found = table.agg(*counts, F.lit(None).alias("bucket")).collect()
+    return Profile(
+        rows=sum(r["n"] for r in found),
+        size=None if width is None else sum(r["size"] or 0 for r in found),
+        nulls=sum(r["n"] for r in found if keys and r["bucket"] is None),
+        buckets={r["bucket"]: r["n"] for r in found if r["bucket"] is not None},
+    )
 
 
-def _width(name: str, kind) -> Column | None:
-    if isinstance(kind, (ArrayType, MapType, StructType)):
-        return None
-    if isinstance(kind, (StringType, BinaryType)):
-        return F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)) + F.lit(8)
-    return F.lit(8)
+def _bucket(keys: Sequence[str]) -> Column:
+    return F.when(_complete(keys), F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)))
+
+
+def _width(table: DataFrame) -> Column | None:
+    """The bytes of a row, or nothing for a table with nested columns."""
+    width = F.lit(0).cast("bigint")
+    for column in table.schema.fields:
+        if isinstance(column.dataType, (ArrayType, MapType, StructType)):
+            return None
+        width += 8
+        if isinstance(column.dataType, (StringType, BinaryType)):
+            width += F.coalesce(F.octet_length(F.col(f"`{column.name}`")), F.lit(0))
+    return width
 
 
 @dataclass(frozen=True)
@@ -146,31 +180,22 @@ class HotKeys:
         return _complete(self.keys) & likely & exact
 
 
-def hot_keys(table: DataFrame, keys: Sequence[str], share: float) -> HotKeys:
-    """The keys that hold more than ``share`` of the rows.
+def hot_keys(table: DataFrame, keys: Sequence[str], share: float, known: Profile | None = None) -> HotKeys:
+    """The keys that hold more than ``share`` of the rows, at most ``1 / share`` of them.
 
-    One pass over the key columns names the candidates (frequent items, at most
-    ``1 / share`` of them and never missing one), a second counts them. Neither
-    shuffles more than the candidates.
+    A hot key makes its bucket of key hashes hot, so the keys themselves are counted
+    in such buckets only, and in the usual case not at all.
     """
     keys = tuple(keys)
     narrow = table.select(*keys)
-    found = narrow.filter(_complete(keys)).select(F.struct(*keys).alias("key"))
-    candidates = found.stat.freqItems(["key"], share).first()[0]
-    listed = HotKeys(keys, [tuple(c) for c in candidates or []])
-    member = listed.member(narrow)
-    kind = F.when(~_complete(keys), "null").when(member, "listed").otherwise("other")
-    counts = (
-        narrow.groupBy(kind.alias("kind"), F.when(member, F.struct(*keys)).alias("key"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .collect()
-    )
-    bar = share * sum(c["n"] for c in counts)
-    return HotKeys(
-        keys,
-        [tuple(c["key"]) for c in counts if c["kind"] == "listed" and c["n"] > bar],
-        any(c["kind"] == "null" and c["n"] > bar for c in counts),
-    )
+    counted = known or profile(narrow, keys)
+    bar = share * counted.rows
+    buckets = [b for b, n in counted.buckets.items() if n > bar]
+    values = []
+    if buckets:
+        per_key = narrow.filter(_bucket(keys).isin(buckets)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        values = [tuple(r[k] for k in keys) for r in per_key.filter(F.col("n") > bar).collect()]
+    return HotKeys(keys, values, counted.nulls > bar)
 
 
 def _complete(keys: Sequence[str]) -> Column:
@@ -188,25 +213,13 @@ def _spread_join(
     right: DataFrame,
     keys: Sequence[str],
     how: str,
-    policy: JoinPolicy,
-    spread: Sequence[str],
-    keys_from: DataFrame | None,
+    hot_left: HotKeys,
+    hot_right: HotKeys,
+    salts: int,
 ) -> DataFrame:
-    if how not in ("inner", "left"):
-        raise ValueError(f"unknown join {how!r}")
     keys = list(keys)
-    share, salts = policy.share(left), policy.spread(left)
-    none = HotKeys(tuple(keys))
-    hot_left = hot_keys(left if keys_from is None else keys_from, keys, share) if "left" in spread else none
-    hot_right = hot_keys(right, keys, share) if "right" in spread else none
-    # Null keys meet no partner: only a left join carries them through the shuffle,
-    # and only those of its left side.
-    if how == "inner":
-        hot_left = HotKeys(hot_left.keys, hot_left.values)
-    hot_right = HotKeys(hot_right.keys, hot_right.values)
     if not hot_left and not hot_right:
         return left.join(right, keys, how)
-
     on = list(keys)
     columns = keys + [c for c in left.columns + right.columns if c not in keys]
     every = F.sequence(F.lit(0), F.lit(salts - 1))

@@ -94,12 +94,15 @@ def month_key(star: Star) -> DataFrame:
 @query
 def typed_projection(star: Star) -> DataFrame:
     return (
-        star.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag")
+        star.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_tax")
         .withColumnsRenamed({"l_orderkey": "order_id", "l_returnflag": "flag", "l_absent": "absent"})
+        .withColumns({"FLAG": F.lower("flag"), "percent": F.col("l_tax") * 100})
+        .drop("l_tax", "l_absent")
         .select(
             "order_id",
             "l_linenumber",
-            "flag",
+            F.col("FLAG").alias("flag"),
+            F.round("percent").try_cast("int").alias("percent"),
             F.col("l_quantity").try_cast("int").alias("quantity"),
             F.col("l_extendedprice").try_cast("bigint").alias("price"),
             F.lit("lines").alias("tag"),
@@ -265,26 +268,67 @@ def per_key_then_group(star: Star) -> DataFrame:
         F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("sum_cents"),
     )
     per_order = O.one_row_per(lines, ["o_orderkey"], ["mean_quantity", "sum_cents"])
-    ranked = O.join_facts(
+    ranked = O.attach_lookup(
         per_order, star.orders.select("o_orderkey", "o_orderpriority"), ["o_orderkey"], "inner", spread=()
     )
     return O.group_stats(ranked, ["o_orderpriority"], ["mean_quantity"], ["sum_cents"])
 
 
+@query
+def key_left(star: Star) -> DataFrame:
+    city = _city(star)
+    sites = P.airport_dim(standins.airports(star), city).select("icao_code", "city_id")
+    return O.attach_lookup(sites, city, ["city_id"])
+
+
+@query
+def key_inner(star: Star) -> DataFrame:
+    city = _city(star)
+    sites = P.airport_dim(standins.airports(star), city).select("icao_code", "city_id")
+    weather = _stored(star, "temperatures", _temperatures(star, city))
+    return O.join_facts(sites, weather, ["city_id"], "inner")
+
+
+@query
+def country_lookup(star: Star) -> DataFrame:
+    person = P.immigrant(standins.arrivals(star), F.col("i94_dt")).select("cicid", "i94_dt", "from_country_code")
+    solvent = star.customer.filter(F.col("c_acctbal") >= 0).select(
+        F.col("c_custkey").cast("int").alias("code"), F.col("c_name").alias("country")
+    )
+    return O.decode(person, solvent, "from_country_code", {"country": "from_country"})
+
+
+@query
+def known_states(star: Star) -> DataFrame:
+    trip = P.immigration(standins.arrivals(star), F.col("i94_dt")).select("cicid", "i94_dt", "state_code")
+    return O.attach_lookup(trip, _profile(star), ["state_code"], "inner")
+
+
 # Table builders
 
 
+def _stored(star: Star, name: str, table: DataFrame) -> DataFrame:
+    """A table that several later steps use, written once as in a real lake."""
+    path = scratch_path(star.spark, name)
+    S.write_table(table, path)
+    return S.read_table(star.spark, path)
+
+
 def _city(star: Star) -> DataFrame:
-    return P.city_dim(standins.airports(star), standins.demographics(star))
+    return _stored(star, "city", P.city_dim(standins.airports(star), standins.demographics(star)))
+
+
+def _demographics(star: Star, city: DataFrame) -> DataFrame:
+    return _stored(star, "demographics", P.city_demographics(standins.demographics(star), city))
 
 
-def _temperatures(star: Star, **options) -> DataFrame:
-    return P.city_temperatures(standins.temperatures(star), _city(star), after=AFTER, country=COUNTRY, **options)
+def _temperatures(star: Star, city: DataFrame, **options) -> DataFrame:
+    return P.city_temperatures(standins.temperatures(star), city, after=AFTER, country=COUNTRY, **options)
 
 
 @query
 def city_dim(star: Star) -> DataFrame:
-    return _city(star)
+    return P.city_dim(standins.airports(star), standins.demographics(star))
 
 
 @query
@@ -304,19 +348,22 @@ def city_demographics(star: Star) -> DataFrame:
 
 @query
 def city_temperatures(star: Star) -> DataFrame:
-    return _temperatures(star)
+    return _temperatures(star, _city(star))
 
 
 @query
 def city_temperatures_flagged(star: Star) -> DataFrame:
-    return _temperatures(star, coordinates=True, flag_ambiguous=True)
+    return _temperatures(star, _city(star), coordinates=True, flag_ambiguous=True)
 
 
 @query
 def airport_weather(star: Star) -> DataFrame:
     city = _city(star)
     return P.airport_weather(
-        P.airport_dim(standins.airports(star), city), city, standins.states(star), _temperatures(star)
+        _stored(star, "airports", P.airport_dim(standins.airports(star), city)),
+        city,
+        standins.states(star),
+        _stored(star, "temperatures", _temperatures(star, city)),
     )
 
 
@@ -332,7 +379,7 @@ def immigration(star: Star) -> DataFrame:
 
 def _profile(star: Star, **options) -> DataFrame:
     city = _city(star)
-    return P.state_profile(P.city_demographics(standins.demographics(star), city), city, **options)
+    return P.state_profile(_demographics(star, city), city, **options)
 
 
 @query
@@ -354,7 +401,7 @@ def monthly_mart(star: Star) -> DataFrame:
         standins.countries(star),
         standins.states(star),
         city,
-        P.city_demographics(standins.demographics(star), city),
+        _demographics(star, city),
     )
 
 

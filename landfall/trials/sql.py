@@ -133,7 +133,8 @@ SQL = {
         from orders""",
     "month_key": _with("select * from month_counts"),
     "typed_projection": """
-        select l_orderkey as order_id, l_linenumber, l_returnflag as flag,
+        select l_orderkey as order_id, l_linenumber, lower(l_returnflag) as flag,
+               cast(round(l_tax * 100) as integer) as percent,
                cast(trunc(l_quantity) as integer) as quantity,
                cast(trunc(l_extendedprice) as bigint) as price, 'lines' as tag
         from lineitem""",
@@ -182,6 +183,23 @@ SQL = {
                      max(cast(round(l_extendedprice * 100) as bigint)) as sum_cents
               from lineitem group by all)
         join orders on o_orderkey = l_orderkey group by all""",
+    "key_left": _with(
+        "select city_id, ident as icao_code, c.city, c.state_code from airports a "
+        "left join city c on a.city = c.city and a.state_code = c.state_code where iso_country = 'US'"
+    ),
+    "key_inner": _with(
+        "select c.city_id, ident as icao_code, avg_temp, std_temp from airports a "
+        "join city c on a.city = c.city and a.state_code = c.state_code "
+        "join placed on placed.city_id = c.city_id where iso_country = 'US'"
+    ),
+    "country_lookup": _with(
+        "select from_country_code, cicid, i94_dt, case when c_acctbal >= 0 then c_name end as from_country "
+        "from persons left join customer on c_custkey = from_country_code"
+    ),
+    "known_states": _with(
+        "select state_code, cicid, i94_dt, median_age, total_population, foreign_born "
+        "from trips join profile using (state_code)"
+    ),
     "city_dim": _with("select * from city"),
     "code_table": "select cast(c_custkey as integer) as code, c_name as country from customer",
     "airport_dim": _with(

@@ -5,7 +5,7 @@ from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from landfall.operators import JoinPolicy, attach_lookup, decode, join_facts
-from landfall.operators.joins import LEFT_SALT, RIGHT_SALT, fits_broadcast, hot_keys
+from landfall.operators.joins import LEFT_SALT, RIGHT_SALT, hot_keys, profile
 
 SHUFFLED = JoinPolicy(broadcast_rows=0, hot_share=0.05, salts=4)
 
@@ -93,12 +93,18 @@ def test_hot_keys_are_exact(spark):
 
 
 def test_broadcast_only_within_the_bound(spark):
+    def allowed(table, **bounds):
+        return JoinPolicy(**bounds).allows(profile(table, widths=True))
+
     table = spark.range(100).withColumn("text", F.lit("x" * 100))
-    assert fits_broadcast(table, JoinPolicy(broadcast_rows=100, broadcast_bytes=12000))
-    assert not fits_broadcast(table, JoinPolicy(broadcast_rows=99))
-    assert not fits_broadcast(table, JoinPolicy(broadcast_bytes=11000))
-    assert not fits_broadcast(table.withColumn("many", F.array("id")))
-    assert fits_broadcast(table.limit(0))
+    assert allowed(table, broadcast_rows=100, broadcast_bytes=12000)
+    assert not allowed(table, broadcast_rows=99)
+    assert not allowed(table, broadcast_bytes=11000)
+    assert not allowed(table.withColumn("many", F.array("id")))
+    assert allowed(table.limit(0))
+    by_key = profile(table, ["id"], widths=True)
+    assert (by_key.rows, by_key.size, by_key.nulls) == (100, 11600, 0)
+    assert sum(by_key.buckets.values()) == 100
 
 
 def test_small_lookup_is_broadcast(spark):

@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 
 import __spark_entry__ as contract
+from landfall.operators import JoinPolicy
 
 FOLDER = os.environ.get("TRIAL_SF_DIR", "/root/testdata/sf0.01")
 TABLES = "region nation customer supplier part orders lineitem".split()
@@ -34,8 +35,7 @@ def test_every_query_has_sql():
     assert contract.queries().keys() == contract.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
-def test_query_equals_sql(spark, sql, name):
+def compare(spark, sql, name):
     result = contract.queries()[name](spark, FOLDER)
     expected = sql.execute(contract.oracle_sql()[name])
     types = {c[0]: str(c[1]) for c in expected.description}
@@ -48,6 +48,32 @@ def test_query_equals_sql(spark, sql, name):
     assert got == wanted
 
 
+@pytest.mark.parametrize("name", list(contract.queries()))
+def test_query_equals_sql(spark, sql, name):
+    compare(spark, sql, name)
+
+
+JOINING = (
+    "two_key_left",
+    "two_key_inner",
+    "fanout_left",
+    "code_lookup",
+    "country_lookup",
+    "fact_fact",
+    "key_inner",
+    "city_temperatures_flagged",
+    "airport_weather",
+    "monthly_mart",
+)
+
+
+@pytest.mark.parametrize("name", JOINING)
+def test_query_equals_sql_when_nothing_fits_a_broadcast(spark, sql, name, monkeypatch):
+    monkeypatch.setattr(JoinPolicy, "allows", lambda self, right: False)
+    monkeypatch.setattr(JoinPolicy, "share", lambda self, table: 0.02)
+    compare(spark, sql, name)
+
+
 def test_entry(spark):
     result = contract.entry(spark)
     assert result.count() > 0
