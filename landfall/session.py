@@ -4,20 +4,29 @@ from __future__ import annotations
 
 import os
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
+# Shuffles start with many partitions, which AQE merges up to the advisory size, so
+# the same settings serve a small refresh and a large month. Scans take larger splits
+# than by default, as the tables are narrow after column pruning.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.shuffle.partitions": "2000",
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
 
 def open_session(name: str = "landfall", **settings: str) -> SparkSession:
-    """A session with the settings above; ``settings`` adds to them or overrides them."""
+    """A session with ``settings``, and with those above that nothing else has set."""
+    given = SparkConf()
+    defaults = {k: v for k, v in SETTINGS.items() if not given.contains(k)}
     builder = SparkSession.builder.appName(name)
-    for key, value in {**SETTINGS, **settings}.items():
+    for key, value in {**defaults, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -29,6 +38,9 @@ def open_local_session(cores: int | str = "*", name: str = "landfall", **setting
         "spark.master": f"local[{cores}]",
         "spark.ui.enabled": "false",
         "spark.sql.shuffle.partitions": partitions,
+        "spark.sql.files.maxPartitionBytes": "128m",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m",
         "spark.driver.memory": "8g",
     }
     spark = open_session(name, **{**local, **settings})

@@ -16,13 +16,15 @@ from landfall.functions import month_key
 
 
 class Star:
-    """The test tables of one folder."""
+    """The test tables of one folder, each opened when first used."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        opened = self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        setattr(self, table, opened)
+        return opened
 
 
 def city_name() -> Column:

@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
         "tests",
         **{
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+            "spark.sql.maxMetadataStringLength": "1000",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )
