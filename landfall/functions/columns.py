@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 WHITESPACE = " \t\n\r\f\v"
 DECIMAL_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 DAY_ZERO = dt.date(1960, 1, 1)
-DAY_PATTERN = "MMddyyyy"
-DAY_TEXT = r"^(0[1-9]|1[0-2])(0[1-9]|[12]\d|3[01])\d{4}$"
 MONTH_NAMES = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
 
@@ -67,12 +65,14 @@ def days_to_date(days: Column, day_zero: dt.date = DAY_ZERO) -> Column:
 
 
 def text_to_date(text: Column) -> Column:
-    """A date written as eight digits; anything else, such as ``D/S``, is null.
+    """A date written as month, day and year in eight digits, such as ``10292016``.
 
-    The test of the text comes first because a failed parse costs far more than it.
+    Anything else, such as ``D/S``, is null. Casting an ISO date is several times
+    faster than parsing by a pattern, in particular for text that is no date.
     """
-    day = F.when(text.rlike(DAY_TEXT), F.try_to_date(text, DAY_PATTERN))
-    return F.when(day >= _date(dt.date.min), day)
+    year_in_range = text.try_cast("int") % 10000 > 0
+    parts = [F.substring(text, start, length) for start, length in ((5, 4), (1, 2), (3, 2))]
+    return F.when((F.length(text) == 8) & year_in_range, F.concat_ws("-", *parts).try_cast("date"))
 
 
 def month_key(moment: Column) -> Column:

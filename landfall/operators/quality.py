@@ -46,12 +46,12 @@ def month_report(
 ) -> DataFrame:
     """The same check for each of some months of month-partitioned tables.
 
-    ``written`` gives, per table, the months that a run has just filled. Another
-    month fails even when the table still holds its rows from an earlier run.
+    ``written`` gives, for some tables, the months that a run has just filled. Any
+    other month fails even when the table still holds its rows from an earlier run.
     """
     reports = []
     for name, table in tables.items():
-        fresh = list(months) if written is None else [m for m in months if m in written[name]]
+        fresh = [m for m in months if written is None or m in written.get(name, months)]
         asked = table.sparkSession.range(1).select(F.explode(F.array(*[F.lit(m) for m in months])).alias(MONTH))
         counts = table.filter(F.col(MONTH).isin(fresh)).groupBy(MONTH).agg(F.count(F.lit(1)).alias("n"))
         n_rows = F.coalesce("n", F.lit(0)).cast("bigint")

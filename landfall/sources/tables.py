@@ -28,23 +28,27 @@ def write_table(table: DataFrame, path: str) -> None:
     table.write.mode("overwrite").parquet(path)
 
 
-def write_months(table: DataFrame, path: str, *, mode: str = "replace", rebalance: bool = False) -> set[str]:
-    """Write a month-partitioned table and return the months that got rows.
+def write_months(
+    table: DataFrame, path: str, *, mode: str = "replace", rebalance: bool = False, watch: bool = False
+) -> set[str] | None:
+    """Write a month-partitioned table.
 
     ``replace`` swaps the months present in ``table`` and leaves all others alone,
     so a repeated run gives the same lake; ``append`` adds to them. A month without
-    rows keeps what it had and is missing from the returned set, which the caller
-    checks. ``rebalance`` is for tables whose tasks each hold many months, such as
-    the result of a join: AQE then gathers each month into files of the advisory
-    size, splitting a month that is larger than that over several tasks.
+    rows keeps what it had; ``watch`` has the write return the months that got rows.
+    ``rebalance`` is for tables whose tasks each hold many months, such as the result
+    of a join: AQE then gathers each month into files of the advisory size, splitting
+    a month that is larger than that over several tasks.
     """
     if mode not in ("replace", "append"):
         raise ValueError(f"unknown mode {mode!r}")
-    seen = Observation()
     out = table.hint("rebalance", MONTH) if rebalance else table
-    writer = out.observe(seen, F.collect_set(MONTH).alias("months")).write.partitionBy(MONTH)
+    if watch:
+        seen = Observation()
+        out = out.observe(seen, F.collect_set(MONTH).alias("months"))
+    writer = out.write.partitionBy(MONTH)
     if mode == "append":
         writer.mode("append").parquet(path)
     else:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    return set(seen.get["months"])
+    return set(seen.get["months"]) if watch else None

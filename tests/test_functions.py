@@ -94,6 +94,12 @@ def test_days_to_date(spark, days, day):
         ("02302016", None),
         ("1012016", None),
         ("102920161", None),
+        ("10292016\n", None),
+        (" 1029201", None),
+        ("015T2016", None),
+        ("015 2016", None),
+        ("+1012016", None),
+        ("12319999", dt.date.max),
         ("01010000", None),
         ("D/S", None),
         ("", None),
@@ -143,3 +149,31 @@ def test_days_to_date_follows_python(spark, values):
     table = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")
     got = table.select("i", X.days_to_date(F.col("x")).alias("d")).orderBy("i").collect()
     assert [r["d"] for r in got] == [expected(v) for v in values]
+
+
+@settings(max_examples=25, deadline=None)
+@given(
+    st.lists(
+        st.one_of(
+            st.none(),
+            st.dates().map(lambda d: f"{d.month:02d}{d.day:02d}{d.year:04d}"),
+            st.integers(0, 99999999).map(lambda n: f"{n:08d}"),
+            st.text("0123456789/DS T-+\t.", min_size=8, max_size=8),
+        ),
+        min_size=1,
+        max_size=50,
+    )
+)
+def test_text_to_date_follows_python(spark, values):
+    def expected(x):
+        # Python also reads a blank and one digit as a day.
+        if x is None or not x.isdigit():
+            return None
+        try:
+            return dt.datetime.strptime(x, "%m%d%Y").date()
+        except ValueError:
+            return None
+
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x string")
+    got = table.select("i", X.text_to_date(F.col("x")).alias("d")).orderBy("i").collect()
+    assert [r["d"] for r in got] == [expected(v) for v in values]

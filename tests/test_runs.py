@@ -61,12 +61,12 @@ def test_months_are_replaced_or_appended(spark, tmp_path):
     path = str(tmp_path / "t")
     two = spark.createDataFrame([(1, "jan16"), (2, "jan16"), (3, "feb16")], "id int, i94_dt string")
     january = two.filter("i94_dt = 'jan16'")
-    assert S.write_months(two, path, rebalance=True) == {"jan16", "feb16"}
-    assert S.write_months(january.filter("id = 1"), path) == {"jan16"}
+    assert S.write_months(two, path, rebalance=True, watch=True) == {"jan16", "feb16"}
+    assert S.write_months(january.filter("id = 1"), path, watch=True) == {"jan16"}
     assert rows(S.read_table(spark, path)) == {(1, "jan16"): 1, (3, "feb16"): 1}
     S.write_months(january, path, mode="append")
     assert rows(S.read_table(spark, path)) == {(1, "jan16"): 2, (2, "jan16"): 1, (3, "feb16"): 1}
-    assert S.write_months(two.filter("id > 9"), path) == set()
+    assert S.write_months(two.filter("id > 9"), path, watch=True) == set()
     assert S.read_table(spark, path).count() == 4
     with pytest.raises(ValueError):
         S.write_months(two, path, mode="upsert")
@@ -146,7 +146,7 @@ def test_an_empty_month_stops_the_run_and_keeps_the_lake(spark, raw, lake, tmp_p
     before = contents(spark, lake)
     empty = S.RawLayout(str(tmp_path / "empty"))
     feeds.arrivals(spark, []).write.parquet(empty.path("arrivals").format(month="jan16"))
-    with pytest.raises(QualityError, match="immigrant"):
+    with pytest.raises(QualityError, match="arrivals"):
         P.run_month(spark, empty, lake, "jan16")
     assert contents(spark, lake) == before
 
