@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 from functools import reduce
 
@@ -21,6 +22,14 @@ BROADCAST_BYTES = 8 << 20
 SALTS = 16
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver did, if they see that folder."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, known)))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -7,15 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm import lines, mixing, packing
-from landfall.llm.common import table
+from landfall.llm import jaccard, lines, mixing, packing
+from landfall.llm.common import importable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
 def query(build: Query) -> Query:
-    QUERIES[build.__name__] = build
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        importable(spark)
+        return build(spark, folder)
+
+    QUERIES[build.__name__] = run
     return build
 
 
@@ -33,6 +37,11 @@ def op4_pack_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op8_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = lines.without_shared_lines(table(spark, folder, "documents").select("doc_id", "text"))
