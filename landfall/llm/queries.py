@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm import jaccard, lines, mixing, packing
+from landfall.llm import jaccard, langid, lines, mixing, packing, quality, rules
 from landfall.llm.common import importable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,19 @@ def query(build: Query) -> Query:
     return build
 
 
+def _remainder(divisor: int) -> Column:
+    """crc32 of the id as text, modulo a number; a row without an id has none."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+@query
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = langid.learned(docs, _remainder(3) != 1)
+    found = langid.identified(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     mix = mixing.copies(table(spark, folder, "documents"))
@@ -37,6 +50,22 @@ def op4_pack_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = rules.judged(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+@query
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    labels = table(spark, folder, "labels").select("doc_id", "quality")
+    found = quality.scored(table(spark, folder, "documents").select("doc_id", "text"), labels, _remainder(4) != 2)
+    held_out = F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "score", "predicted")
+
+
 @query
 def op8_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")

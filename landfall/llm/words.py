@@ -24,8 +24,8 @@ _random = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _random.integers(0, 1 << 64, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = int(_random.integers(0, 1 << 62)) * 4 + 3
 _STEPS = _random.integers(0, 1 << 64, 64, dtype=np.uint64) | np.uint64(1)
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[ord("A") : ord("Z") + 1] += 32
 _POWERS: list[np.ndarray] = []
@@ -115,7 +115,7 @@ def words_of(texts: pa.Array, fold: bool = False) -> Words:
     bounds = offsets - offsets[0]
     if fold:
         data = _FOLD[data]
-    inner = ~_SPACE[data]
+    inner = ~SPACE[data]
     begins = inner.copy()
     begins[1:] &= ~inner[:-1]
     edge = bounds[:-1][bounds[:-1] < len(data)]
