@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm import jaccard, langid, lines, mixing, packing, quality, rules
+from landfall.llm import jaccard, langid, lines, mixing, packing, pii, quality, rules
 from landfall.llm.common import importable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,23 @@ def op4_pack_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _held(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+
+
+@query
+def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    spans = pii.found(docs, pii.learned(docs))
+    base = F.filter("spans", lambda s: s["base"])
+    return spans.select(
+        "doc_id",
+        *[_held(base, kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.listed(base), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
 @query
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     found = rules.judged(table(spark, folder, "documents"))
