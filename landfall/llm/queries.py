@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm import jaccard, langid, lines, mixing, packing, pii, quality, rules
+from landfall.llm import ann, jaccard, langid, lines, mixing, packing, pii, quality, rules
 from landfall.llm.common import importable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,11 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op2_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest(table(spark, folder, "embeddings"), every=50, k=5)
+
+
 @query
 def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     mix = mixing.copies(table(spark, folder, "documents"))
