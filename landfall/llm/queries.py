@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm import ann, jaccard, langid, lines, mixing, packing, pii, quality, rules
+from landfall.llm import ann, chat, jaccard, langid, lines, mixing, packing, pii, quality, rules
 from landfall.llm.common import importable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +97,9 @@ def op8_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = lines.without_shared_lines(table(spark, folder, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op10_chat_roles(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    return chat.parsed(conversations, chat.learned(conversations))
