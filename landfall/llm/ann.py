@@ -188,8 +188,7 @@ def searched(coded: DataFrame, queries: DataFrame, radius: int, buckets: int, k:
             code = own.column("code").to_numpy().view(np.uint64)
             order = np.argsort((code >> shift) & mask, kind="stable")
             code, own = code[order], own.take(pa.array(order))
-            value, begin = np.unique((code >> shift) & mask, return_index=True)
-            end = np.append(begin[1:], len(code))
+            value, held = np.unique((code >> shift) & mask, return_counts=True)
             entry = own.column("entry").to_numpy()
             ids = own.column("ids").to_pylist()
             first = np.array([x[0] for x in ids])
@@ -197,11 +196,13 @@ def searched(coded: DataFrame, queries: DataFrame, radius: int, buckets: int, k:
             norms = np.sqrt((vectors * vectors).sum(axis=1))
             looking = _matrix(asked.column("embedding").combine_chunks())
             for who, bits, query in zip(asked.column("query").to_pylist(), asked.column("code").to_numpy().view(np.uint64), looking):
-                hit = np.flatnonzero(np.bitwise_count(value ^ ((bits >> shift) & mask)) <= reach)
-                if not len(hit):
-                    continue
-                rows = np.concatenate([np.arange(a, b) for a, b in zip(begin[hit], end[hit])])
+                hit = np.bitwise_count(value ^ ((bits >> shift) & mask)) <= reach
+                rows = np.flatnonzero(np.repeat(hit, held))
                 rows = rows[np.bitwise_count(code[rows] ^ bits) <= radius]
+                # A code that an earlier part finds too is left to that one.
+                for earlier in range(part):
+                    apart = ((code[rows] ^ bits) >> np.uint64(PART_BITS * earlier)) & mask
+                    rows = rows[np.bitwise_count(apart) > reach]
                 if not len(rows):
                     continue
                 score = cosines(vectors[rows], norms[rows], query)
@@ -211,9 +212,8 @@ def searched(coded: DataFrame, queries: DataFrame, radius: int, buckets: int, k:
 
     keys = ["part", "bucket", "slot"]
     found = index.groupBy(*keys).cogroup(probes.groupBy(*keys)).applyInArrow(look, "query bigint, entry bigint, ids array<bigint>, score double")
-    once = found.dropDuplicates(["query", "entry"])
     order = Window.partitionBy("query").orderBy(F.desc("score"), F.col("ids")[0])
-    return once.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k).drop("place")
+    return found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k).drop("place")
 
 
 def nearest(vectors: DataFrame, every: int, k: int = 5, within: float = WITHIN) -> DataFrame:
