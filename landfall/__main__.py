@@ -21,6 +21,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--lake", required=True, help="root of the lake tables")
     parser.add_argument("--arrivals-format", default=RawLayout.arrivals_format)
     parser.add_argument("--arrivals", default=RawLayout.arrivals, help="path of a month's file, with {month}")
+    parser.add_argument("--arrivals-option", action="append", default=[], metavar="NAME=VALUE", help="for the reader of the arrivals")
     runs = parser.add_subparsers(dest="run", required=True)
     refresh = runs.add_parser("refresh")
     refresh.add_argument("--after", type=dt.date.fromisoformat, default=dt.date(2013, 8, 1))
@@ -33,7 +34,8 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
 
     spark = open_session()
-    raw = RawLayout(args.raw, arrivals=args.arrivals, arrivals_format=args.arrivals_format)
+    options = dict(option.split("=", 1) for option in args.arrivals_option)
+    raw = RawLayout(args.raw, arrivals=args.arrivals, arrivals_format=args.arrivals_format, arrivals_options=options)
     lake = LakeLayout(args.lake)
     if args.run == "refresh":
         reports = [refresh_dimensions(spark, raw, lake, after=args.after)]

@@ -4,6 +4,7 @@ from landfall.operators.grouping import distinct_union, group_stats, one_row_per
 from landfall.operators.joins import DEFAULT, JoinPolicy, attach_lookup, decode, join_facts
 from landfall.operators.quality import (
     QualityError,
+    collected,
     key_report,
     month_report,
     require_pass,
@@ -15,6 +16,7 @@ __all__ = [
     "JoinPolicy",
     "QualityError",
     "attach_lookup",
+    "collected",
     "decode",
     "distinct_union",
     "group_stats",

@@ -1,21 +1,38 @@
 """Equi-joins that stay whole and even when one key holds much of the data.
 
-A side is broadcast only after its rows and bytes were counted. Beyond that bound
-the join is shuffled; keys that hold a large share of a side are found first, and
-their rows are spread over several tasks by a salt while the rows of the other side
-are repeated once per salt value. No row is dropped or limited on any path, so all
-paths give the same rows.
+A dimension is broadcast only after its rows and bytes were counted. Beyond that bound, and for facts,
+the join is shuffled. Where AQE splits skewed partitions the rest is left to it. Where that is off, keys that
+hold a large share of a side are found first, and their rows are spread over as many tasks as they
+would fill, while the rows of the other side are repeated once per task, within a bound on all copies.
+
+Keys of different types are brought to one type before any of this, so the way taken never decides which
+keys are equal. No row is dropped or limited on any path.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    BooleanType,
+    DataType,
+    DoubleType,
+    FractionalType,
+    IntegerType,
+    IntegralType,
+    LongType,
+    MapType,
+    StringType,
+    StructType,
+)
 
 LEFT_SALT, RIGHT_SALT, MATCHED = "__left_salt", "__right_salt", "__matched"
 BUCKETS = 4096
@@ -27,14 +44,17 @@ class JoinPolicy:
 
     ``hot_share`` is the share of a side's rows that makes a key hot, which also
     bounds the number of hot keys by its inverse. By default it is a few times the
-    size of an average shuffle partition. ``salts`` is the number of tasks a hot key
-    is spread over, by default a quarter of the shuffle partitions.
+    size of an average shuffle partition. A hot key is spread over as many tasks as its rows
+    would fill average partitions; for all hot keys of a side together the other side's rows are
+    repeated at most ``copies`` times the number of rows that are spread. ``spread`` is whether to
+    spread at all, by default only where AQE does not split skewed joins.
     """
 
     broadcast_rows: int = 1_000_000
     broadcast_bytes: int = 32 * 1024 * 1024
     hot_share: float | None = None
-    salts: int | None = None
+    copies: float = 1.0
+    spread: bool | None = None
 
     def allows(self, right: Profile) -> bool:
         """Whether a table may be broadcast."""
@@ -43,8 +63,11 @@ class JoinPolicy:
     def share(self, table: DataFrame) -> float:
         return self.hot_share or min(0.05, max(0.001, 4 / _partitions(table)))
 
-    def spread(self, table: DataFrame) -> int:
-        return self.salts or max(8, _partitions(table) // 4)
+    def spreads(self, table: DataFrame) -> bool:
+        if self.spread is not None:
+            return self.spread
+        names = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+        return not all(table.sparkSession.conf.get(name) == "true" for name in names)
 
 
 DEFAULT = JoinPolicy()
@@ -70,19 +93,7 @@ def attach_lookup(
     has none. ``keys_from`` is a cheaper table with the key distribution of ``left``,
     such as the scan it was joined from.
     """
-    if how not in ("inner", "left"):
-        raise ValueError(f"unknown join {how!r}")
-    right = profile(lookup, keys if "right" in spread else (), widths=True)
-    if policy.allows(right):
-        return left.join(F.broadcast(lookup), list(keys), how)
-    none = HotKeys(tuple(keys))
-    share = policy.share(left)
-    hot_left = hot_keys(left if keys_from is None else keys_from, keys, share) if "left" in spread else none
-    hot_right = hot_keys(lookup, keys, share, right) if "right" in spread else none
-    if how == "inner":
-        # An inner join drops null keys before it shuffles.
-        hot_left = replace(hot_left, nulls=False)
-    return _spread_join(left, lookup, keys, how, hot_left, replace(hot_right, nulls=False), policy.spread(left))
+    return _joined(left, lookup, keys, how, policy, spread, keys_from, small=True)
 
 
 def join_facts(
@@ -92,12 +103,78 @@ def join_facts(
     how: str = "left",
     *,
     policy: JoinPolicy = DEFAULT,
+    unique: bool = False,
     keys_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Join two tables that both grow with the data, either of which may have hot keys."""
-    return attach_lookup(
-        left, right, keys, how, policy=policy, spread=("left", "right"), keys_from=keys_from
-    )
+    """Join two tables that both grow with the data, either of which may have hot keys.
+
+    Neither side is counted for a broadcast, which would read a fact once more. ``unique``
+    says that the keys identify the rows of both sides, so that none can be hot.
+    """
+    return _joined(left, right, keys, how, policy, () if unique else ("left", "right"), keys_from, small=False)
+
+
+def _joined(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    policy: JoinPolicy,
+    spread: Sequence[str],
+    keys_from: DataFrame | None,
+    small: bool,
+) -> DataFrame:
+    if how not in ("inner", "left"):
+        raise ValueError(f"unknown join {how!r}")
+    columns = [*keys, *[c for c in [*left.columns, *right.columns] if c not in keys]]
+    types = common_types(left, right, keys)
+    if types:
+        named = {k: f"__key_{k}" for k in types}
+        source = left if keys_from is None else keys_from
+        left = left.withColumns({named[k]: F.col(f"`{k}`").try_cast(t) for k, t in types.items()})
+        right = right.withColumns({named[k]: F.col(f"`{k}`").try_cast(t) for k, t in types.items()}).drop(*types)
+        keys_from = source.withColumns({named[k]: F.col(f"`{k}`").try_cast(t) for k, t in types.items()})
+        keys = [named.get(k, k) for k in keys]
+    keys = list(keys)
+    if small and policy.allows(profile(right, widths=True)):
+        return left.join(F.broadcast(right), keys, how).select(*columns)
+    if not (spread and policy.spreads(left)):
+        return left.join(right, keys, how).select(*columns)
+    share, none = policy.share(left), HotKeys(tuple(keys))
+    hot_left = hot_keys(left if keys_from is None else keys_from, keys, share) if "left" in spread else none
+    hot_right = hot_keys(right, keys, share) if "right" in spread else none
+    return _spread_join(left, right, keys, how, hot_left, hot_right, policy).select(*columns)
+
+
+def common_types(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> dict[str, DataType]:
+    """The one type to compare each key in whose types differ.
+
+    Text is read as the type of the other side, and equals nothing where it cannot be read. Other
+    types meet in what Spark takes both to; types that have nothing in common raise ``ValueError``.
+    """
+    found = {}
+    for key in keys:
+        a, b = left.schema[key].dataType, right.schema[key].dataType
+        if a == b:
+            continue
+        text = [t for t in (a, b) if isinstance(t, StringType)]
+        other = b if text and text[0] is a else a
+        if len(text) == 2:
+            found[key] = StringType()
+        elif text and isinstance(other, (ArrayType, MapType, StructType, BinaryType)):
+            raise ValueError(f"key {key!r} cannot be compared as {a.simpleString()} and {b.simpleString()}")
+        elif text:
+            wide = LongType() if isinstance(other, IntegralType) else DoubleType() if isinstance(other, FractionalType) else other
+            found[key] = wide
+        elif isinstance(a, BooleanType) or isinstance(b, BooleanType):
+            raise ValueError(f"key {key!r} cannot be compared as {a.simpleString()} and {b.simpleString()}")
+        else:
+            empty = left.sparkSession.range(0)
+            try:
+                found[key] = empty.select(F.coalesce(F.lit(None).cast(a), F.lit(None).cast(b)).alias("k")).schema["k"].dataType
+            except AnalysisException:
+                raise ValueError(f"key {key!r} cannot be compared as {a.simpleString()} and {b.simpleString()}") from None
+    return found
 
 
 def decode(
@@ -162,25 +239,18 @@ def _width(table: DataFrame) -> Column | None:
 
 @dataclass(frozen=True)
 class HotKeys:
+    """Keys with very many rows and how many, the rows of the side, and whether its null keys are many."""
+
     keys: tuple[str, ...]
-    values: list[tuple] = field(default_factory=list)
+    values: dict[tuple, int] = field(default_factory=dict)
+    rows: int = 0
     nulls: bool = False
 
     def __bool__(self) -> bool:
-        return bool(self.values) or self.nulls
-
-    def member(self, table: DataFrame) -> Column:
-        """Whether a row's key is hot. The hash rules out nearly all others at once."""
-        if not self.values:
-            return F.lit(False)
-        types = [table.schema[k].dataType for k in self.keys]
-        literals = [[F.lit(v).try_cast(t) for v, t in zip(row, types)] for row in self.values]
-        likely = F.xxhash64(*self.keys).isin([F.xxhash64(*row) for row in literals])
-        exact = F.struct(*self.keys).isin([F.struct(*row) for row in literals])
-        return _complete(self.keys) & likely & exact
+        return bool(self.values)
 
 
-def hot_keys(table: DataFrame, keys: Sequence[str], share: float, known: Profile | None = None) -> HotKeys:
+def hot_keys(table: DataFrame, keys: Sequence[str], share: float) -> HotKeys:
     """The keys that hold more than ``share`` of the rows, at most ``1 / share`` of them.
 
     A hot key makes its bucket of key hashes hot, so the keys themselves are counted
@@ -188,56 +258,82 @@ def hot_keys(table: DataFrame, keys: Sequence[str], share: float, known: Profile
     """
     keys = tuple(keys)
     narrow = table.select(*keys)
-    counted = known or profile(narrow, keys)
+    counted = profile(narrow, keys)
     bar = share * counted.rows
     buckets = [b for b, n in counted.buckets.items() if n > bar]
-    values = []
+    values = {}
     if buckets:
         per_key = narrow.filter(_bucket(keys).isin(buckets)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        values = [tuple(r[k] for k in keys) for r in per_key.filter(F.col("n") > bar).collect()]
-    return HotKeys(keys, values, counted.nulls > bar)
+        values = {tuple(r[k] for k in keys): r["n"] for r in per_key.filter(F.col("n") > bar).collect()}
+    return HotKeys(keys, values, counted.rows, counted.nulls > bar)
 
 
 def _complete(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
 
 
-def _salt(table: DataFrame, salts: int) -> Column:
+def _salt(table: DataFrame, salts: Column) -> Column:
     # A function of the row and its partition, so a task that runs again sends its
     # rows to the same places, and copies of one row in several partitions part ways.
-    return F.pmod(F.xxhash64(*table.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
+    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in table.columns], F.spark_partition_id()), salts).cast("int")
+
+
+def salts(hot: HotKeys, other: dict[tuple, int], partitions: int, copies: float) -> dict[tuple, int]:
+    """Over how many tasks to spread each hot key, given the rows of the other side with that key.
+
+    The copies of the other side's rows stay within ``copies`` times the rows that are spread.
+    """
+    wanted = {k: max(2, math.ceil(n * partitions / max(1, hot.rows))) for k, n in hot.values.items()}
+    cost = sum((w - 1) * other.get(k, 0) for k, w in wanted.items())
+    part = min(1.0, copies * sum(hot.values.values()) / cost) if cost else 1.0
+    return {k: 1 + math.floor((w - 1) * part) for k, w in wanted.items()}
+
+
+def _matching(table: DataFrame, hot: HotKeys) -> dict[tuple, int]:
+    """The rows of a table for each hot key of the other side."""
+    keys = list(hot.keys)
+    found = table.select(*keys).join(F.broadcast(_small(table, hot, {k: 1 for k in hot.values}, "n")), keys, "left_semi")
+    return {tuple(r[k] for k in keys): r["count"] for r in found.groupBy(*keys).count().collect()}
+
+
+def _small(table: DataFrame, hot: HotKeys, numbers: dict[tuple, int], name: str) -> DataFrame:
+    """A table of hot keys, at most one for each ``1 / share``, with a number each."""
+    schema = StructType([table.schema[k] for k in hot.keys]).add(name, IntegerType())
+    return table.sparkSession.createDataFrame([(*k, n) for k, n in numbers.items()], schema)
 
 
 def _spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    how: str,
-    hot_left: HotKeys,
-    hot_right: HotKeys,
-    salts: int,
+    left: DataFrame, right: DataFrame, keys: list[str], how: str, hot_left: HotKeys, hot_right: HotKeys, policy: JoinPolicy
 ) -> DataFrame:
-    keys = list(keys)
-    if not hot_left and not hot_right:
+    scattered = hot_left.nulls and how == "left"
+    if not (hot_left or hot_right or scattered):
         return left.join(right, keys, how)
-    on = list(keys)
-    columns = keys + [c for c in left.columns + right.columns if c not in keys]
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    once = F.array(F.lit(0))
-    a, b = left, right
-    if hot_left:
-        heavy = hot_left.member(left)
-        scattered = heavy | ~_complete(keys) if hot_left.nulls else heavy
-        a = a.withColumn(LEFT_SALT, F.when(scattered, _salt(left, salts)).otherwise(0))
-        b = b.withColumn(LEFT_SALT, F.explode(F.when(hot_left.member(right), every).otherwise(once)))
+    on, partitions, a, b = list(keys), _partitions(left), left, right
+
+    def dealt(table: DataFrame, hot: HotKeys, found: dict[tuple, int], salt: str) -> DataFrame:
+        marked = table.join(F.broadcast(_small(table, hot, found, "__n")), keys, "left")
+        return marked.withColumn(salt, F.coalesce(_salt(table, F.col("__n")), F.lit(0))).drop("__n")
+
+    def repeated(table: DataFrame, hot: HotKeys, found: dict[tuple, int], salt: str) -> DataFrame:
+        marked = table.join(F.broadcast(_small(table, hot, found, "__n")), keys, "left")
+        return marked.withColumn(salt, F.explode(F.sequence(F.lit(0), F.coalesce("__n", F.lit(1)) - 1))).drop("__n")
+
+    if hot_left or scattered:
+        found = salts(hot_left, _matching(right, hot_left) if hot_left else {}, partitions, policy.copies)
+        a, b = dealt(a, hot_left, found, LEFT_SALT), repeated(b, hot_left, found, LEFT_SALT)
+        if scattered:
+            # Null keys meet nothing, so they may go anywhere.
+            anywhere = _salt(left, F.lit(partitions))
+            a = a.withColumn(LEFT_SALT, F.when(_complete(keys), F.col(LEFT_SALT)).otherwise(anywhere))
         on.append(LEFT_SALT)
-    if hot_right:
-        b = b.withColumn(RIGHT_SALT, F.when(hot_right.member(right), _salt(right, salts)).otherwise(0))
-        a = a.withColumn(RIGHT_SALT, F.explode(F.when(hot_right.member(left), every).otherwise(once)))
-        on.append(RIGHT_SALT)
-    if how == "inner" or not hot_right:
-        return a.join(b, on, how).select(*columns)
+    if not hot_right:
+        return a.join(b, on, how)
+    found = salts(hot_right, _matching(left, hot_right), partitions, policy.copies)
+    b, a = dealt(b, hot_right, found, RIGHT_SALT), repeated(a, hot_right, found, RIGHT_SALT)
+    on.append(RIGHT_SALT)
+    if how == "inner":
+        return a.join(b, on, how)
     # A hot key of the right side has partners, so a repeated left row that met none
     # under its own salt is no result of its own.
-    joined = a.join(b.withColumn(MATCHED, F.lit(True)), on, how)
-    return joined.filter(F.col(MATCHED).isNotNull() | ~hot_right.member(left)).select(*columns)
+    many = a.join(F.broadcast(_small(left, hot_right, found, "__n")), keys, "left").withColumn("__n", F.coalesce("__n", F.lit(1)))
+    return many.join(b.withColumn(MATCHED, F.lit(True)), on, how).filter(F.col(MATCHED).isNotNull() | (F.col("__n") == 1))

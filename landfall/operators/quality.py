@@ -85,8 +85,17 @@ def key_report(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
 
 
 def require_pass(report: DataFrame) -> DataFrame:
-    """Stop with an error that names the failed checks; otherwise give the report."""
-    failed = report.filter(F.col("status") == FAIL).collect()
+    """Stop with an error that names the failed checks; otherwise give the report.
+
+    The checks run once: what comes back is a table of the rows found.
+    """
+    found = collected(report)
+    failed = [row for row in found.collect() if row["status"] == FAIL]
     if failed:
         raise QualityError("; ".join(str(row.asDict()) for row in failed))
-    return report
+    return found
+
+
+def collected(report: DataFrame) -> DataFrame:
+    """The report as a local table, so that reading it again counts nothing again."""
+    return report.sparkSession.createDataFrame(report.collect(), report.schema)

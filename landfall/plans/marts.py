@@ -14,6 +14,7 @@ from landfall.operators import (
     one_row_per,
 )
 
+# The figures of a state.
 PROFILE = ("median_age", "total_population", "foreign_born")
 
 
@@ -95,6 +96,7 @@ def immigration_demographic(
         ["cicid", "i94_dt"],
         "inner",
         policy=policy,
+        unique=True,
     )
     profiled = attach_lookup(went, per_state, ["state_code"], "inner", policy=policy, keys_from=trip)
     named = decode(

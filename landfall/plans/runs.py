@@ -1,18 +1,20 @@
 """The runs that fill the lake: a full refresh of the dimensions, and months of facts.
 
 Every table is written before the next one reads it, and no run reads a path that it
-writes later, so any run can be repeated from its start.
+writes later, so any run can be repeated from its start. A month is published whole or not at all.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.operators import DEFAULT, JoinPolicy, key_report, month_report, require_pass, table_report
+from landfall.operators import DEFAULT, JoinPolicy, collected, key_report, month_report, require_pass, table_report
 from landfall.plans.dimensions import airport_dim, city_demographics, city_dim, city_temperatures, code_table
 from landfall.plans.facts import immigrant, immigration
 from landfall.plans.marts import airport_weather, immigration_demographic
@@ -21,12 +23,16 @@ from landfall.sources import (
     RawLayout,
     read_arrivals,
     read_feed,
-    read_months,
     read_table,
     write_months,
     write_table,
 )
+from landfall.sources.files import remove
 from landfall.sources.layout import DIMENSIONS
+from landfall.sources.tables import MONTH
+
+# Formats of which a scan reads only the columns it needs.
+COLUMNAR = ("parquet", "orc")
 
 
 def refresh_dimensions(
@@ -48,8 +54,9 @@ def refresh_dimensions(
         return read_table(spark, lake.path(name))
 
     airports_raw, demographics_raw = feed("airports"), feed("demographics")
-    city = store("city", city_dim(airports_raw, demographics_raw))
+    city = city_dim(airports_raw, demographics_raw)
     require_pass(key_report({"city": (city, "city_id")}))
+    city = store("city", city)
     states = store("state_code", code_table(feed("states")))
     store("country_code", code_table(feed("countries")))
     airports = store("airport_code", airport_dim(airports_raw, city, policy=policy))
@@ -68,39 +75,56 @@ def run_months(
     lake: LakeLayout,
     months: Sequence[str],
     *,
-    mode: str = "replace",
+    gate: bool = True,
     per_row: bool = False,
     policy: JoinPolicy = DEFAULT,
 ) -> DataFrame:
     """Fill some months of the facts and their mart in one pass, check and report.
 
-    The facts have a row per arrival, so counting the feed shows an empty month before
-    anything is written; of the mart it shows in the write.
+    Everything is built in a folder of the run beside the lake and checked there. If a check fails the
+    lake keeps what it had, in all tables. Otherwise, or with ``gate`` off, the months of all
+    three tables are replaced; a month that has no rows in a table then has none in the lake.
+    A row format is decoded once, into that folder; columnar files are read per fact.
     """
     months = list(months)
-    arrivals = read_arrivals(spark, raw.path("arrivals"), months, raw.arrivals_format)
-    require_pass(month_report({"arrivals": arrivals}, months))
-    tables = {}
-
-    def store(name: str, table: DataFrame, **options) -> set[str] | None:
-        written = write_months(table, lake.path(name), mode=mode, **options)
-        tables[name] = read_table(spark, lake.path(name), table.schema)
-        return written
-
-    store("immigrant", immigrant(arrivals, F.col("i94_dt")))
-    store("immigration", immigration(arrivals, F.col("i94_dt")))
-    mart = immigration_demographic(
-        read_months(spark, lake.path("immigrant"), months),
-        read_months(spark, lake.path("immigration"), months),
-        read_table(spark, lake.path("country_code")),
-        read_table(spark, lake.path("state_code")),
-        read_table(spark, lake.path("city")),
-        read_table(spark, lake.path("us_cities_demographics")),
-        per_row=per_row,
-        policy=policy,
-    )
-    filled = store("immigration_demographic", mart, rebalance=len(months) > 1, watch=True)
-    return require_pass(month_report(tables, months, {"immigration_demographic": filled}))
+    staged = replace(lake, root=f"{lake.root.rstrip('/')}/_runs/{uuid.uuid4().hex}")
+    try:
+        arrivals = read_arrivals(spark, raw.path("arrivals"), months, raw.arrivals_format, **raw.arrivals_options)
+        if raw.arrivals_format not in COLUMNAR:
+            write_months(arrivals, f"{staged.root}/arrivals")
+            arrivals = read_table(spark, f"{staged.root}/arrivals", arrivals.schema)
+        tables, filled = {}, {}
+
+        def store(name: str, table: DataFrame, **options) -> DataFrame:
+            filled[name] = write_months(table, staged.path(name), watch=True, **options)
+            tables[name] = read_table(spark, staged.path(name), table.schema)
+            return tables[name]
+
+        person = store("immigrant", immigrant(arrivals, F.col("i94_dt")))
+        trip = store("immigration", immigration(arrivals, F.col("i94_dt")))
+        if gate and filled["immigrant"] != set(months):
+            require_pass(month_report({"arrivals": person}, months))
+        mart = immigration_demographic(
+            person,
+            trip,
+            read_table(spark, lake.path("country_code")),
+            read_table(spark, lake.path("state_code")),
+            read_table(spark, lake.path("city")),
+            read_table(spark, lake.path("us_cities_demographics")),
+            per_row=per_row,
+            policy=policy,
+        )
+        store("immigration_demographic", mart, rebalance=len(months) > 1)
+        report = month_report(tables, months)
+        report = require_pass(report) if gate else collected(report)
+        for name, table in tables.items():
+            if filled[name]:
+                write_months(table, lake.path(name))
+            for month in set(months) - filled[name]:
+                remove(spark, f"{lake.path(name)}/{MONTH}={month}")
+        return report
+    finally:
+        remove(spark, staged.root)
 
 
 def run_month(spark: SparkSession, raw: RawLayout, lake: LakeLayout, month: str, **options) -> DataFrame:
@@ -122,6 +146,8 @@ def backfill(
     A failed check stops at its pass; earlier months are complete by then.
     """
     months = list(months)
+    if len(set(months)) < len(months):
+        raise ValueError("months given twice")
     return [
         run_months(spark, raw, lake, months[i : i + together], **options)
         for i in range(0, len(months), together)

@@ -7,15 +7,17 @@ import os
 from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
-# Shuffles start with many partitions, which AQE merges up to the advisory size, so
-# the same settings serve a small refresh and a large month. Scans take larger splits
-# than by default, as the tables are narrow after column pruning.
+# AQE merges the partitions of a shuffle up to the advisory size but does not divide even ones, so
+# shuffles start with very many: 20,000 hold 2.5 TB at that size each. Joins and aggregations that AQE
+# does not plan keep to the smaller number. Scans take larger splits than by default, as the tables are
+# narrow after column pruning.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.shuffle.partitions": "2000",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
@@ -38,6 +40,7 @@ def open_local_session(cores: int | str = "*", name: str = "landfall", **setting
         "spark.master": f"local[{cores}]",
         "spark.ui.enabled": "false",
         "spark.sql.shuffle.partitions": partitions,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": partitions,
         "spark.sql.files.maxPartitionBytes": "128m",
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m",

@@ -145,17 +145,22 @@ def read_arrivals(
 
     ``template`` holds ``{month}`` once. Every month is a scan of its own, so a
     task reads rows of one month only and the month-partitioned write that follows
-    needs no shuffle. ``file_format`` names any installed data source. Of Parquet
-    and ORC files the first month's schema serves all months of the call.
+    needs no shuffle. ``file_format`` names any installed data source and ``options`` go to it.
+    The columns of ``ARRIVALS`` are found by name and typed in each month by itself; others are
+    left out. A month that lacks one, and a month that is given twice, raise ``ValueError``.
     """
     keys = [months] if isinstance(months, str) else list(months)
     if not keys:
         raise ValueError("no months given")
+    if len(set(keys)) < len(keys):
+        raise ValueError(f"months given twice: {sorted({k for k in keys if keys.count(k) > 1})}")
     reader = spark.read.format(file_format).options(**options)
     scans = []
     for key in keys:
         scan = reader.load(template.format(month=key))
-        if not scans and file_format in ("parquet", "orc"):
-            reader = reader.schema(scan.schema)
-        scans.append(scan.withColumn("i94_dt", F.lit(key)))
+        missing = [f.name for f in ARRIVALS.fields if f.name not in scan.columns]
+        if missing:
+            raise ValueError(f"the arrivals of {key} lack the columns {missing}")
+        typed = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in ARRIVALS.fields]
+        scans.append(scan.select(*typed, F.lit(key).alias("i94_dt")))
     return reduce(lambda a, b: a.unionByName(b), scans)

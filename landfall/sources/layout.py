@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 
 # The file names of the raw area and the table names of the lake.
@@ -16,6 +17,7 @@ class RawLayout:
     temperatures: str = "temperatures/GlobalLandTemperaturesByCity.csv"
     arrivals: str = "i94_immigration_data/i94_{month}_sub"
     arrivals_format: str = "parquet"
+    arrivals_options: Mapping[str, str] = field(default_factory=dict)
 
     def path(self, feed: str) -> str:
         return f"{self.root.rstrip('/')}/{getattr(self, feed)}"

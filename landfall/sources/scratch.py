@@ -2,25 +2,41 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from landfall.sources.files import remove
+
+_MADE: set[str] = set()
+
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder the session names in ``spark.checkpoint.dir``.
+    """The folder the session names in ``spark.checkpoint.dir``, or gives its context.
 
-    Only a session that runs on one machine may do without that setting.
+    Only a session that runs in one process may do without.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return tempfile.gettempdir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path no other query uses."""
-    return f"{scratch_root(spark)}/landfall/{name}-{uuid.uuid4().hex}"
+    """A path no other query uses. It lies in a folder of the application, which ends with the driver."""
+    folder = f"{scratch_root(spark)}/landfall-{spark.sparkContext.applicationId}"
+    if folder not in _MADE:
+        _MADE.add(folder)
+        atexit.register(_remove, spark, folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Only while the application still runs; a cluster's own clean-up of that folder takes the rest."""
+    if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
+        remove(spark, folder)

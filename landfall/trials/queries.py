@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -184,11 +185,12 @@ def csv_semicolon(star: Star) -> DataFrame:
 
 @query
 def format_source(star: Star) -> DataFrame:
-    path = scratch_path(star.spark, "orders_orc")
-    orders = _by_month(star)
-    months = sorted(r["i94_dt"] for r in orders.select("i94_dt").dropDuplicates().collect())
-    orders.hint("rebalance", "i94_dt").write.partitionBy("i94_dt").orc(path)
-    return S.read_arrivals(star.spark, path + "/i94_dt={month}", months, "orc")
+    path = scratch_path(star.spark, "arrivals_orc")
+    arrivals = standins.arrivals(star)
+    months = sorted(r["i94_dt"] for r in arrivals.select("i94_dt").dropDuplicates().collect())
+    arrivals.hint("rebalance", "i94_dt").write.partitionBy("i94_dt").orc(path)
+    read = S.read_arrivals(star.spark, path + "/i94_dt={month}", months, "orc")
+    return read.select(F.col("cicid").cast("bigint").alias("o_orderkey"), F.col("i94res").cast("bigint").alias("o_custkey"), "dtaddto", "i94addr", "i94_dt")
 
 
 # Joins, grouping, set operations
@@ -240,7 +242,7 @@ def fact_fact(star: Star) -> DataFrame:
     person = P.immigrant(raw, F.col("i94_dt")).select("cicid", "i94_dt", "age")
     left_again = raw.filter(F.col("depdate").isNotNull())
     trip = P.immigration(left_again, F.col("i94_dt")).select("cicid", "i94_dt", "state_code", "departure_date")
-    return O.join_facts(person, trip, ["cicid", "i94_dt"], "left")
+    return O.join_facts(person, trip, ["cicid", "i94_dt"], "left", unique=True)
 
 
 @query
@@ -392,8 +394,7 @@ def state_profile_per_row(star: Star) -> DataFrame:
     return _profile(star, per_row=True)
 
 
-@query
-def monthly_mart(star: Star) -> DataFrame:
+def _mart(star: Star, **options) -> DataFrame:
     raw, city = standins.arrivals(star), _city(star)
     return P.immigration_demographic(
         P.immigrant(raw, F.col("i94_dt")),
@@ -402,9 +403,20 @@ def monthly_mart(star: Star) -> DataFrame:
         standins.states(star),
         city,
         _demographics(star, city),
+        **options,
     )
 
 
+@query
+def monthly_mart(star: Star) -> DataFrame:
+    return _mart(star)
+
+
+@query
+def monthly_mart_per_row(star: Star) -> DataFrame:
+    return _mart(star, per_row=True)
+
+
 # Checks and runs
 
 
@@ -454,14 +466,13 @@ def dimension_refresh(star: Star) -> DataFrame:
 def _monthly_lake(star: Star) -> tuple[S.RawLayout, S.LakeLayout, list[str]]:
     """Arrivals filed by month, and a lake with the tables the mart looks up.
 
-    The months to run are those in which somebody went to a listed state: a run of
-    another month would be stopped by its check, as its mart has no rows.
+    In a month in which nobody went to a listed state the mart has no rows, which its check reports.
     """
     raw = S.RawLayout(scratch_path(star.spark, "raw"), arrivals="arrivals/i94_dt={month}")
     lake = S.LakeLayout(scratch_path(star.spark, "lake"))
     S.write_months(standins.arrivals(star), f"{raw.root}/arrivals", rebalance=True)
-    listed = S.read_table(star.spark, f"{raw.root}/arrivals").filter(F.col("i94addr") != "99")
-    months = sorted(r["i94_dt"] for r in listed.select("i94_dt").dropDuplicates().collect())
+    filed = S.read_table(star.spark, f"{raw.root}/arrivals")
+    months = sorted(r["i94_dt"] for r in filed.select("i94_dt").dropDuplicates().collect())
     S.write_table(standins.countries(star), lake.path("country_code"))
     S.write_table(standins.states(star), lake.path("state_code"))
     S.write_table(_city(star), lake.path("city"))
@@ -475,16 +486,69 @@ def _monthly_lake(star: Star) -> tuple[S.RawLayout, S.LakeLayout, list[str]]:
 def backfill(star: Star) -> DataFrame:
     """All months in one pass; the mart read back."""
     raw, lake, months = _monthly_lake(star)
-    P.backfill(star.spark, raw, lake, months, together=len(months))
+    P.backfill(star.spark, raw, lake, months, together=len(months), gate=False)
     return S.read_table(star.spark, lake.path("immigration_demographic"))
 
 
+@query
+def backfill_in_parts(star: Star) -> DataFrame:
+    """All months in order, some at a time; the reports of all passes."""
+    raw, lake, months = _monthly_lake(star)
+    reports = P.backfill(star.spark, raw, lake, months, together=16, gate=False)
+    return reduce(lambda a, b: a.unionByName(b), reports)
+
+
 @query
 def run_month(star: Star) -> DataFrame:
     """All months in one pass, then one of them twice more; rows per table and month."""
     raw, lake, months = _monthly_lake(star)
-    P.run_months(star.spark, raw, lake, months)
+    P.run_months(star.spark, raw, lake, months, gate=False)
     P.run_month(star.spark, raw, lake, MONTH)
     report = P.run_month(star.spark, raw, lake, MONTH)
     everything = {t: S.read_table(star.spark, lake.path(t)) for t in S.layout.MONTHLY}
     return O.month_report(everything, months).unionByName(report.withColumn("table", F.concat("table", F.lit(" again"))))
+
+
+@query
+def failed_month(star: Star) -> DataFrame:
+    """All months, then one again from a feed of which nobody went to a listed state. Its gate stops that run.
+
+    Rows per table and month after it, and whether the run was stopped.
+    """
+    raw, lake, months = _monthly_lake(star)
+    P.run_months(star.spark, raw, lake, months, gate=False)
+    unlisted = S.read_months(star.spark, f"{raw.root}/arrivals", MONTH).withColumn("i94addr", F.lit("99"))
+    again = S.RawLayout(scratch_path(star.spark, "raw"))
+    S.write_table(unlisted.drop("i94_dt"), again.path("arrivals").format(month=MONTH))
+    try:
+        P.run_month(star.spark, again, lake, MONTH)
+        stopped = False
+    except O.QualityError:
+        stopped = True
+    everything = {t: S.read_table(star.spark, lake.path(t)) for t in S.layout.MONTHLY}
+    return O.month_report(everything, months).withColumn("stopped", F.lit(stopped))
+
+
+@query
+def row_format_month(star: Star) -> DataFrame:
+    """All months from delimited files with a header and reader options; the trips read back."""
+    _, lake, months = _monthly_lake(star)
+    raw = S.RawLayout(
+        scratch_path(star.spark, "raw"),
+        arrivals="arrivals/i94_dt={month}",
+        arrivals_format="csv",
+        arrivals_options={"header": "true", "sep": "|"},
+    )
+    feed = standins.arrivals(star).hint("rebalance", "i94_dt").write.partitionBy("i94_dt")
+    feed.option("header", True).option("sep", "|").csv(f"{raw.root}/arrivals")
+    P.run_months(star.spark, raw, lake, months, gate=False)
+    return S.read_table(star.spark, lake.path("immigration"))
+
+
+@query
+def mixed_key_types(star: Star) -> DataFrame:
+    """Nations by a number against a text with a leading zero, spread over tasks as the third nation is hot."""
+    numbered = star.customer.select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, 3).otherwise(F.col("c_nationkey")).alias("nation"))
+    texts = star.supplier.select("s_suppkey", F.lpad(F.col("s_nationkey").cast("string"), 3, "0").alias("nation"))
+    policy = O.JoinPolicy(broadcast_rows=0, hot_share=0.02, spread=True)
+    return O.attach_lookup(numbered, texts, ["nation"], policy=policy, spread=("left", "right"))

@@ -111,6 +111,21 @@ def _with(body: str) -> str:
     return "with " + ",\n".join(f"{name} as ({text})" for name, text in PARTS.items()) + "\n" + body
 
 
+# Rows per table and month; a month whose mart is empty fails.
+MONTHLY = """, months as (select distinct i94_dt from persons),
+tables as (
+    select 'immigrant' as "table", 10 as n_cols, i94_dt from persons
+    union all select 'immigration', 14, i94_dt from trips
+    union all select 'immigration_demographic', 10, i94_dt from mart
+),
+names as (select * from (values ('immigrant', 10), ('immigration', 14), ('immigration_demographic', 10)) n("table", n_cols)),
+per_month as (
+    select n."table", m.i94_dt, n.n_cols, count(t.i94_dt) as n_rows,
+        case when count(t.i94_dt) > 0 then 'SUCCESS' else 'FAIL' end as status
+    from months m cross join names n left join tables t on t.i94_dt = m.i94_dt and t."table" = n."table"
+    group by n."table", m.i94_dt, n.n_cols
+)"""
+
 SQL = {
     "surrogate_key": f"""
         select *, {key('c_mktsegment', 'c_nationkey')} as pair_id
@@ -149,7 +164,10 @@ SQL = {
     "full_refresh": "select * from part",
     "csv_comma": "select * from customer",
     "csv_semicolon": "select * from part",
-    "format_source": _with("select * from by_month"),
+    "format_source": f"""
+        select o_orderkey, o_custkey, case when o_orderstatus = 'O' then 'D/S' else {DIGITS} end as dtaddto,
+               case when o_orderstatus <> 'P' then case when c_acctbal < 0 then '99' else n_name end end as i94addr, {MONTH_OF} as i94_dt
+        from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey""",
     "two_key_left": _with(
         "select p.city, p.state_code, c_custkey, has_airport from people p left join towns t "
         "on p.city = t.city and p.state_code = t.state_code"
@@ -240,20 +258,19 @@ SQL = {
     ),
     "dimension_refresh": _with("select * from weather"),
     "backfill": _with("select * from mart"),
+    "backfill_in_parts": _with(f"{MONTHLY} select * from per_month"),
     "run_month": _with(
-        f"""select "table", i94_dt, n_cols, n_rows, 'SUCCESS' as status
-        from (select 'immigrant' as "table", i94_dt, 10 as n_cols, count(*) as n_rows from persons
-              where i94_dt in (select i94_dt from mart) group by all
-              union all select 'immigration', i94_dt, 14, count(*) from trips
-              where i94_dt in (select i94_dt from mart) group by all
-              union all select 'immigration_demographic', i94_dt, 10, count(*) from mart group by all)
-        union all
-        select "table" || ' again', i94_dt, n_cols, n_rows, 'SUCCESS'
-        from (select 'immigrant' as "table", i94_dt, 10 as n_cols, count(*) as n_rows from persons
-              where i94_dt in (select i94_dt from mart) group by all
-              union all select 'immigration', i94_dt, 14, count(*) from trips
-              where i94_dt in (select i94_dt from mart) group by all
-              union all select 'immigration_demographic', i94_dt, 10, count(*) from mart group by all)
-        where i94_dt = '{MONTH}'"""
+        f"""{MONTHLY} select * from per_month
+        union all select "table" || ' again', i94_dt, n_cols, n_rows, status from per_month where i94_dt = '{MONTH}'"""
+    ),
+    "failed_month": _with(f"{MONTHLY} select *, true as stopped from per_month"),
+    "row_format_month": _with("select * from trips"),
+    "monthly_mart_per_row": _with(
+        """select cicid, age, occupation, gender, from_country, state, p.median_age, p.total_population, p.foreign_born, i94_dt
+        from mart join (select state_code, avg(median_age) as median_age, cast(sum(total_population) as bigint) as total_population,
+            cast(sum(foreign_born) as bigint) as foreign_born from demographic_rows group by all) p on lower(p.state_code) = mart.state"""
     ),
+    "mixed_key_types": """
+        select case when c_custkey % 3 = 0 then 3 else c_nationkey end as nation, c_custkey, s_suppkey
+        from customer left join supplier on case when c_custkey % 3 = 0 then 3 else c_nationkey end = s_nationkey""",
 }

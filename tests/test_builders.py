@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from landfall import plans as P
 from landfall.operators import JoinPolicy
 
-SHUFFLED = JoinPolicy(broadcast_rows=0, hot_share=0.05, salts=4)
+SHUFFLED = JoinPolicy(broadcast_rows=0, hot_share=0.05, spread=True, copies=1e9)
 
 
 @pytest.fixture(scope="module")

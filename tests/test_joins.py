@@ -5,9 +5,9 @@ from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from landfall.operators import JoinPolicy, attach_lookup, decode, join_facts
-from landfall.operators.joins import LEFT_SALT, RIGHT_SALT, hot_keys, profile
+from landfall.operators.joins import LEFT_SALT, RIGHT_SALT, HotKeys, hot_keys, profile, salts
 
-SHUFFLED = JoinPolicy(broadcast_rows=0, hot_share=0.05, salts=4)
+SHUFFLED = JoinPolicy(broadcast_rows=0, hot_share=0.05, spread=True, copies=1e9)
 
 
 def sides(spark, left_hot, right_hot, nulls=False):
@@ -50,8 +50,9 @@ def test_hot_right_key_without_left_rows(spark):
 
 def test_hot_key_goes_to_several_tasks(spark):
     left, right = sides(spark, True, False)
-    policy = JoinPolicy(broadcast_rows=0, hot_share=0.05, salts=64)
+    policy = JoinPolicy(broadcast_rows=0, hot_share=0.05, spread=True)
     off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    off["spark.sql.shuffle.partitions"] = "32"
     kept = {k: spark.conf.get(k) for k in off}
     try:
         for k, v in off.items():
@@ -86,7 +87,7 @@ def test_copies_of_one_row_part_ways(spark):
 def test_hot_keys_are_exact(spark):
     left, _ = sides(spark, True, False)
     found = hot_keys(left, ["k", "s"], 0.05)
-    assert found.values == [(7, "x")] and not found.nulls
+    assert found.values == {(7, "x"): 1003} and found.rows == 3000 and not found.nulls
     assert not hot_keys(spark.range(5000).withColumn("s", F.lit("x")), ["id", "s"], 0.01)
     assert hot_keys(sides(spark, False, False, True)[0], ["k"], 0.05).nulls
     assert not hot_keys(spark.range(0), ["id"], 0.01)
@@ -110,7 +111,7 @@ def test_broadcast_only_within_the_bound(spark):
 def test_small_lookup_is_broadcast(spark):
     left, right = sides(spark, True, False)
     assert "BroadcastHashJoin" in plan(attach_lookup(left, right, ["k", "s"]))
-    assert "BroadcastHashJoin" in plan(join_facts(left, right, ["k", "s"]))
+    assert "_salt" not in plan(join_facts(left, right, ["k", "s"]))
 
 
 def test_decode_keeps_unknown_codes(spark):
@@ -133,3 +134,64 @@ def test_other_joins_are_refused(spark):
     left, right = sides(spark, False, False)
     with pytest.raises(ValueError):
         join_facts(left, right, ["k"], "full", policy=SHUFFLED)
+
+
+PAIRS = [
+    ("string", "int", ["07", "7", "x", None], [7, 8, None]),
+    ("string", "bigint", ["07", "7", "x", None], [7, 8, None]),
+    ("int", "bigint", [7, 8, None], [7, 9, None]),
+    ("float", "double", [0.5, 2.0, None], [0.5, 3.0, None]),
+    ("date", "timestamp", ["2016-01-01", None], ["2016-01-01 00:00:00", "2016-01-01 01:00:00"]),
+    ("string", "date", ["2016-01-01", "x"], ["2016-01-01", "2016-01-02"]),
+]
+
+
+@pytest.mark.parametrize("a, b, lefts, rights", PAIRS + [(b, a, r, x) for a, b, x, r in PAIRS])
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_keys_of_two_types_join_alike_on_every_path(spark, a, b, lefts, rights, how):
+    many = lambda values, kind: spark.createDataFrame([(str(v) if v is not None else None,) for v in values], "k string").select(
+        F.explode(F.array_repeat(F.coalesce("k", F.lit("-")), 40)).alias("k")
+    ).select(F.nullif("k", F.lit("-")).cast(kind).alias("k"))
+    left, right = many(lefts, a).withColumn("l", F.lit(1)), many(rights, b).withColumn("r", F.lit(2))
+    found = [
+        rows(attach_lookup(left, right, ["k"], how, policy=policy, spread=("left", "right")))
+        for policy in (JoinPolicy(), JoinPolicy(broadcast_rows=0, spread=False), SHUFFLED)
+    ]
+    assert found[0] == found[1] == found[2]
+    assert sum(n for row, n in found[0].items() if row[2] is not None) >= 40 * 40
+    assert attach_lookup(left, right, ["k"], how).schema["k"].dataType == left.schema["k"].dataType
+
+
+def test_keys_that_cannot_be_compared_are_refused(spark):
+    left = spark.createDataFrame([(True,)], "k boolean")
+    with pytest.raises(ValueError, match="'k'"):
+        attach_lookup(left, spark.range(2).withColumnRenamed("id", "k"), ["k"])
+
+
+def test_copies_stay_within_their_bound():
+    hot = HotKeys(("k",), {(i,): 5000 for i in range(20)}, 100_000)
+    other = {(i,): 100 for i in range(20)}
+    free = salts(hot, other, 2000, 1e9)
+    assert set(free.values()) == {100}
+    bound = salts(hot, other, 2000, 1.0)
+    assert sum((n - 1) * 100 for n in bound.values()) <= 100_000
+    assert all(1 < n < 100 for n in bound.values())
+    assert salts(hot, {}, 2000, 1.0) == free
+
+
+def test_copied_rows_of_a_join_are_bounded(spark):
+    left = spark.range(10_000).select((F.col("id") % 20).alias("k"), "id")
+    right = spark.range(2000).select((F.col("id") % 20).alias("k"), F.col("id").alias("r"))
+    got = join_facts(left, right, ["k"], "inner", policy=JoinPolicy(hot_share=0.04, spread=True))
+    assert LEFT_SALT in plan(got)
+    assert got.count() == 1_000_000 == left.join(right, "k").count()
+
+
+def test_skew_is_left_to_adaptive_execution(spark):
+    left, right = sides(spark, True, True)
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("joins", "no pass before the join")
+    got = join_facts(left, right, ["k", "s"])
+    assert list(jobs.getJobIdsForGroup("joins")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert rows(got) == rows(left.join(right, ["k", "s"], "left"))

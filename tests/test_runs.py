@@ -124,10 +124,33 @@ def test_other_months_stay(spark, raw, lake):
     assert {r["cicid"] for r in trips.collect()} == {1, 8}
 
 
-def test_append_doubles_a_repeated_month(spark, raw, lake):
-    P.run_month(spark, raw, lake, "feb16", mode="append")
-    P.run_month(spark, raw, lake, "feb16", mode="append")
-    assert table(spark, lake, "immigrant").count() == 4
+def test_months_given_twice_are_refused(spark, raw, lake):
+    for run in (P.run_months, P.backfill):
+        with pytest.raises(ValueError, match="twice"):
+            run(spark, raw, lake, ["jan16", "jan16"])
+    with pytest.raises(ValueError, match="twice"):
+        S.read_arrivals(spark, raw.path("arrivals"), ["jan16", "feb16", "jan16"])
+
+
+def test_each_month_is_read_as_declared(spark, raw, lake, tmp_path):
+    drifted = S.RawLayout(str(tmp_path / "drifted"))
+    full = S.read_arrivals(spark, raw.path("arrivals"), "jan16").drop("i94_dt")
+    full.withColumn("extra", F.lit(1)).withColumn("cicid", F.col("cicid").cast("string")).write.parquet(drifted.path("arrivals").format(month="jan16"))
+    full.drop("gender").write.parquet(drifted.path("arrivals").format(month="feb16"))
+    assert S.read_arrivals(spark, drifted.path("arrivals"), "jan16").schema == S.read_arrivals(spark, raw.path("arrivals"), "jan16").schema
+    for months in ("feb16", ["jan16", "feb16"]):
+        with pytest.raises(ValueError, match="feb16.*gender"):
+            S.read_arrivals(spark, drifted.path("arrivals"), months)
+
+
+def test_a_row_format_with_options_gives_the_same_lake(spark, raw, lake, tmp_path):
+    P.run_month(spark, raw, lake, "jan16")
+    once = contents(spark, lake)
+    text = S.RawLayout(str(tmp_path / "text"), arrivals_format="csv", arrivals_options={"header": "true", "sep": "|"})
+    january = S.read_arrivals(spark, raw.path("arrivals"), "jan16").drop("i94_dt")
+    january.write.option("header", True).option("sep", "|").csv(text.path("arrivals").format(month="jan16"))
+    P.run_month(spark, text, lake, "jan16")
+    assert contents(spark, lake) == once
 
 
 @pytest.mark.parametrize("together", [1, 2, 3])
@@ -151,11 +174,23 @@ def test_an_empty_month_stops_the_run_and_keeps_the_lake(spark, raw, lake, tmp_p
     assert contents(spark, lake) == before
 
 
-def test_a_month_without_mart_rows_stops_the_run(spark, lake, tmp_path):
-    raw = S.RawLayout(str(tmp_path / "r"))
-    feeds.arrivals(spark, feeds.JANUARY[2:4]).write.parquet(raw.path("arrivals").format(month="jan16"))
+def test_a_month_without_mart_rows_is_published_whole_or_not_at_all(spark, raw, lake, tmp_path):
+    P.run_months(spark, raw, lake, ["jan16", "feb16"])
+    before = contents(spark, lake)
+    bare = S.RawLayout(str(tmp_path / "r"))
+    feeds.arrivals(spark, feeds.JANUARY[2:4]).write.parquet(bare.path("arrivals").format(month="jan16"))
     with pytest.raises(QualityError, match="immigration_demographic"):
-        P.run_month(spark, raw, lake, "jan16")
+        P.run_month(spark, bare, lake, "jan16")
+    assert contents(spark, lake) == before
+    report = P.run_month(spark, bare, lake, "jan16", gate=False)
+    assert {(r["table"], r["n_rows"], r["status"]) for r in report.collect()} == {
+        ("immigrant", 2, "SUCCESS"),
+        ("immigration", 2, "SUCCESS"),
+        ("immigration_demographic", 0, "FAIL"),
+    }
+    mart = table(spark, lake, "immigration_demographic")
+    assert rows(mart.select("i94_dt").distinct()) == {("feb16",): 1}
+    assert not list((tmp_path / "lake" / "_runs").iterdir())
 
 
 def test_reports(spark):
@@ -182,6 +217,7 @@ def test_scratch_lies_in_the_shared_folder(spark):
     assert scratch_root(spark) == root
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a.startswith(root) and a != b
+    assert spark.sparkContext.applicationId in a
 
 
 def test_command_line(spark, raw, tmp_path, capsys):
