@@ -1,0 +1,116 @@
+import random
+
+import numpy as np
+import pytest
+from cases import FOLD, documents, prose, table, words
+
+from landfall.llm import jaccard as J
+from landfall.llm.components import components
+
+
+def shingles(text):
+    own = words((text or "").translate(FOLD))
+    return frozenset(tuple(own[i : i + 5]) for i in range(len(own) - 4)) if len(own) >= 5 else frozenset([tuple(own)] if own else [])
+
+
+def linked(a, b, percent=80):
+    both = len(a & b)
+    return bool(a and b) and 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def brute(rows):
+    """(doc_id, n_shingles, component_id) of every row."""
+    sets = [shingles(r[1]) for r in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if group[i] != group[j] and linked(sets[i], sets[j]):
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    out = []
+    for i, (row, s) in enumerate(zip(rows, sets)):
+        ids = [r[0] for r, g in zip(rows, group) if g == group[i] and r[0] is not None]
+        out.append((row[0], len(s), row[0] if not s else min(ids, default=None)))
+    return sorted(out, key=str)
+
+
+def found(docs, **options):
+    return sorted((tuple(r) for r in J.similar(docs, **options).select("doc_id", "n_shingles", "component_id").collect()), key=str)
+
+
+def test_all_cases_against_all_pairs(spark):
+    assert found(table(spark)) == brute(documents())
+
+
+def near(n, changes, length=40, seed=2):
+    """Texts that differ from one another in a few places, so that about half of the pairs are links."""
+    r = random.Random(seed)
+    base = prose(r, length).split(" ")
+    rows = []
+    for i in range(n):
+        copy = list(base)
+        for _ in range(r.randint(0, changes)):
+            copy[r.randrange(length)] = prose(r, 1)
+        rows.append((i * 7, " ".join(copy[: r.randint(length - 4, length)]), "en", "a", 1))
+    return rows
+
+
+@pytest.mark.parametrize("chunk", [J.CHUNK, 300])
+def test_near_copies_in_one_or_many_chunks(spark, monkeypatch, chunk):
+    monkeypatch.setattr(J, "CHUNK", chunk)
+    monkeypatch.setattr(J, "TOGETHER", 2 * chunk)
+    rows = near(80, 4)
+    expected = brute(rows)
+    assert 1 < len({e[2] for e in expected}) < 80
+    assert found(table(spark, rows, extra=False)) == expected
+
+
+def test_empty_table(spark):
+    assert found(table(spark, [])) == []
+
+
+def test_divide_skip_counts():
+    r = random.Random(3)
+    for _ in range(300):
+        lists = [np.array(sorted(r.sample(range(30), r.randint(1, 25)))) for _ in range(r.randint(1, 20))]
+        least = r.randint(1, 12)
+        plain = {v: n for v in range(30) if (n := sum(v in set(x.tolist()) for x in lists)) >= least}
+        values, count = J.divide_skip(lists, least)
+        assert dict(zip(values.tolist(), count.tolist())) == plain
+
+
+@pytest.mark.parametrize("two", [False, True])
+def test_units_find_every_link(two):
+    r = random.Random(5)
+    base = r.sample(range(10_000), 60)
+
+    def some(n):
+        sets = [np.unique([r.choice(base) if r.random() < 0.97 else r.randrange(10_000) for _ in range(r.randint(150, 260))]) for _ in range(n)]
+        return sorted((s.astype(np.int64) for s in sets), key=len)
+
+    left, right = some(30), some(25) if two else None
+    other = right if two else left
+    plain = {(i, j) for i in range(len(left)) for j in range(len(other)) if (two or i < j) and linked(set(left[i].tolist()), set(other[j].tolist()))}
+    assert len(plain) > 10
+    assert set(J.unit_links(left, right, 80, spanning=False)) == plain
+    spanning = J.unit_links(left, right, 80, spanning=True)
+    assert set(spanning) <= plain and len(spanning) < len(left) + len(other)
+
+
+def test_prefixes_hold_enough_common_shingles():
+    for n in range(1, 400):
+        assert 1 <= J.prefix_length(n) <= n
+        assert J.least_overlap(n) == -(-n * 4 // 5)
+
+
+def test_components_of_paths_stars_and_loops(spark):
+    r = random.Random(6)
+    edges = [(i, i + 1) for i in range(100, 140)] + [(200, i) for i in range(201, 240)] + [(300, 300), (301, 302), (302, 301)]
+    edges += [(r.randrange(400, 500), r.randrange(400, 500)) for _ in range(40)]
+    got = dict(map(tuple, components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()))
+    group = {n: n for e in edges for n in e}
+    for _ in range(60):
+        for a, b in edges:
+            group[a] = group[b] = min(group[a], group[b])
+    assert got == {n: g for n, g in group.items() if any(n in e and e[0] != e[1] for e in edges)}
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0

@@ -1,0 +1,216 @@
+"""Language ID, quality scores, quality rules and personal data."""
+
+import os
+import random
+import re
+import time
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from cases import documents, prose, table, words
+from pyspark.sql import functions as F
+
+from landfall.llm import langid, pii, quality, rules
+from landfall.llm.boosting import boosted
+
+FOLDER = os.environ.get("TRIAL_SF_DIR", "/root/testdata/sf0.01")
+needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+crc = lambda n: F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+@needs_tables
+def test_language_of_texts_not_learned_from(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    model = langid.learned(docs, crc(3) != 1)
+    assert 0 < (model.weights != 0).mean() < 0.9
+    found = langid.identified(docs, model).filter(crc(3) == 1)
+    right = found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double")), F.avg("score"), F.count("*")).first()
+    assert right[0] > 0.97 and right[1] > 0.9 and right[2] > 200
+
+
+def test_language_of_awkward_texts(spark):
+    docs = table(spark)
+    found = langid.identified(docs, langid.learned(docs, F.lit(True)))
+    assert found.columns == [*docs.columns, "lang_pred_", "score_"]
+    rows = found.collect()
+    assert Counter((r["doc_id"], r["text"]) for r in rows) == Counter((d[0], d[1]) for d in documents())
+    for r in rows:
+        letters = any(c.isalpha() for c in r["text"] or "")
+        assert r["lang_pred_"] in (("en", "de", "fr") if letters else ("und",)) and 0 <= r["score_"] <= 1
+
+
+def test_language_without_anything_to_learn(spark):
+    assert langid.learned(table(spark, []), F.lit(True)) is None
+    rows = langid.identified(table(spark), None).collect()
+    assert {(r["lang_pred_"], r["score_"]) for r in rows} == {("und", 0.0)}
+    assert langid.identified(table(spark, []), None).count() == 0
+
+
+def test_grams_of_a_text_do_not_depend_on_its_neighbours():
+    texts = ["Ab c!", None, "", "12", "É?é", "ab", "a" * 5000]
+    alone = [langid.grams(pa.array([t], pa.string()))[0].tolist() for t in texts]
+    found, ends = langid.grams(pa.array(texts, pa.string()))
+    assert [found[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == alone
+    assert alone[1] == alone[2] == alone[3] == [] and alone[0] == langid.grams(pa.array(["aB?? C"]))[0].tolist()
+    # Of " ab " there are three bigrams and two trigrams.
+    assert len(alone[5]) == 5
+
+
+@needs_tables
+def test_quality_of_texts_not_learned_from(spark):
+    docs, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality.scored(docs, labels, crc(4) != 2).filter(~F.col("learnable")).join(labels, "doc_id").collect()
+    good, bad = ([r["score"] for r in rows if r["quality"] == q] for q in (1, 0))
+    assert len(good) > 20 and len(bad) > 5
+    assert np.mean([g > b or 0.5 * (g == b) for g in good for b in bad]) > 0.95
+    assert np.mean([r["predicted"] == r["quality"] for r in rows]) > 0.9
+
+
+def test_quality_of_awkward_texts(spark):
+    docs = table(spark)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(3, None), (None, 1), (7, 5), (9, 1)], "doc_id bigint, quality int")
+    rows = quality.scored(docs, labels, F.lit(True)).collect()
+    assert Counter(r["doc_id"] for r in rows) == Counter(d[0] for d in documents())
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in rows)
+    assert {r["score"] for r in quality.scored(docs, labels.limit(0), F.lit(True)).collect()} == {0.5}
+    assert quality.scored(table(spark, []), labels, F.lit(True)).count() == 0
+
+
+def test_isotonic_is_the_nearest_rising_function():
+    knots, levels = quality.isotonic(np.arange(6.0), np.array([0, 1, 0, 1, 1, 1.0]), np.ones(6))
+    assert knots.tolist() == [0.0, 1.5, 4.0] and levels.tolist() == [0.0, 0.5, 1.0]
+
+
+def test_features_approximate_the_kernel():
+    rng = np.random.default_rng(0)
+    x = quality.fourier(rng.normal(size=(50, quality.N_FIGURES)))
+    assert x.shape == (50, quality.FEATURES + 1)
+    near, far = rng.normal(size=(1, quality.N_FIGURES)), rng.normal(size=(1, quality.N_FIGURES))
+    distance = ((near - far) ** 2).sum()
+    product = (quality.fourier(near)[:, :-1] @ quality.fourier(far)[:, :-1].T)[0, 0]
+    assert abs(product - np.exp(-distance / (2 * quality.WIDTH**2))) < 0.3
+
+
+def test_rules_on_all_cases(spark):
+    rows = rules.judged(table(spark)).collect()
+    assert Counter((r["doc_id"], r["n_words"]) for r in rows) == Counter((d[0], len(words(d[1]))) for d in documents())
+    for r in rows:
+        assert r["base_failed"] == (r["n_words"] < 20 or 100 * r["n_repeat_words"] > 30 * r["n_words"])
+        assert not (r["kept"] and r["base_failed"])
+    assert rules.judged(table(spark, [])).count() == 0
+
+
+def test_rules_adapt_to_the_source_and_keep_clean_documents(spark):
+    r = random.Random(2)
+    rows = []
+    for i in range(900):
+        source = "code" if i % 3 == 0 else "web"
+        body = ["".join(r.choice("abcdefghij") for _ in range(r.randint(3, 7))) + (" <a> | {b} $" if source == "code" else "") for _ in range(60)]
+        rows.append((i, " ".join(body), "en", source, 1))
+    rows += [(1000, " ".join(f"<{prose(r, 1)}> | $" for _ in range(40)) + " " + prose(r, 60), "en", "web", 1), (1001, prose(r, 60).upper(), "en", "web", 1), (1002, prose(r, 80), "fr", None, 1)]
+    kept = {x["doc_id"]: x["kept"] for x in rules.judged(table(spark, rows, extra=False)).collect()}
+    assert not kept[1000] and not kept[1001]
+    assert all(v for k, v in kept.items() if k < 1000) and kept[1002]
+
+
+def test_sketches_merge_by_addition(spark):
+    from landfall.llm.stats import with_stats
+
+    stats = with_stats(table(spark, extra=False), ("doc_id", "lang", "source"))
+    whole = {tuple(r)[:4]: r["n"] for r in rules.sketches(stats).collect()}
+    parts = Counter()
+    for half in (0, 1):
+        for r in rules.sketches(stats.filter(F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(2)) == half)).collect():
+            parts[tuple(r)[:4]] += r["n"]
+    assert dict(parts) == whole
+
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def plain_spans(text):
+    out = []
+    for kind, pattern in PLAIN.items():
+        for found in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", found.group())
+            doubled = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+            fine = {
+                "email": True,
+                "ip": kind == "ip" and all(int(p) <= 255 for p in found.group().split(".")),
+                "card": 13 <= len(digits) <= 19 and sum(d - 9 * (d > 9) for d in doubled) % 10 == 0,
+                "phone": 9 <= len(digits) <= 15,
+            }
+            if fine[kind]:
+                out.append((kind, *found.span()))
+    return out
+
+
+def test_base_spans_are_those_of_the_plain_patterns():
+    r = random.Random(1)
+    for alphabet in ("aA1234567890..@@-+ ()%é", "0123456789 -", "12.", "ab@.%"):
+        for _ in range(4000):
+            text = "".join(r.choice(alphabet) for _ in range(r.randint(0, 50)))
+            assert pii.base_spans(text) == plain_spans(text), text
+    text = "é 4111 1111-1111 1111, x.y@mail.example.com 10.0.0.255 4111111111111112 1.2.3.256 +1 (743) 555-3824 x"
+    assert [s[0] for s in pii.base_spans(text)] == ["email", "ip", "card", "phone"] and pii.base_spans(text) == plain_spans(text)
+
+
+@pytest.mark.parametrize("text", ["1" * 300_000, "1." * 150_000, "a" * 300_000 + "@", "+1 " + "(" * 200_000, "1 " * 150_000, "a." * 150_000 + "@b", "x@" * 100_000])
+def test_long_runs_take_linear_time(text):
+    start = time.process_time()
+    pii.base_spans(text)
+    pii.candidates(text)
+    assert time.process_time() - start < 20
+
+
+def personal(n=800):
+    r = random.Random(3)
+    rows = []
+    for i in range(n):
+        number = "".join(r.choice("0123456789") for _ in range(15))
+        check = next(str(c) for c in range(10) if pii.luhn(number + str(c)))
+        bits = [prose(r, 5), f"card {number}{check}", f"no {number}{(int(check) + 5) % 10}", f"u{i}@mail.example.com", "10.2.3.4", f"version 1.{i}.300.999", f"+1 (743) 555-{1000 + i}"]
+        rows.append((i, " ".join(r.sample(bits, 3)), "en", "a", 1))
+    return rows
+
+
+def test_spans_added_by_the_trees_do_not_touch_the_base(spark):
+    rows = personal()
+    number = "4111111111111111"
+    rows.append((5000, f"mail {number} {number} end", "en", "a", 1))
+    docs = table(spark, rows, extra=False)
+    model = pii.learned(docs)
+    assert model is not None and set(model.least) == set(pii.KINDS)
+    got = {r["doc_id"]: r["spans"] for r in pii.found(docs, model).collect()}
+    for doc_id, text, *_ in rows:
+        base = [(s["kind"], s["start"], s["end"]) for s in got[doc_id] if s["base"]]
+        assert base == plain_spans(text)
+        order = [(pii.KINDS.index(s["kind"]), s["start"], s["end"]) for s in got[doc_id]]
+        assert order == sorted(order)
+    added = [s for spans in got.values() for s in spans if not s["base"]]
+    assert len(added) <= 0.02 * sum(map(len, got.values())) + 2
+
+
+def test_personal_data_of_awkward_texts(spark):
+    docs = table(spark)
+    assert pii.learned(table(spark, [])) is None
+    rows = pii.found(docs, pii.learned(docs)).collect()
+    assert Counter(r["doc_id"] for r in rows) == Counter(d[0] for d in documents())
+    assert pii.found(table(spark, []), None).count() == 0
+    clean = pii.redacted(table(spark, [(1, "é x@y.org, 1.2.3.4!", "en", "a", 1), (2, None, None, None, None)]), None)
+    assert {(r["doc_id"], r["text"], r["bucket"]) for r in clean.collect()} == {(1, "é [email], [ip]!", "clash"), (2, None, "clash")}
+
+
+def test_trees_learn_an_interaction():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(2000, 4))
+    y = ((x[:, 0] > 0) & (x[:, 2] < 0.5)).astype(float)
+    margin = boosted(x[:1500], y[:1500]).margins(x[1500:])
+    assert ((margin > 0) == (y[1500:] == 1)).mean() > 0.97
