@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.llm import jaccard, langid, lines, mixing, packing
-from landfall.llm.common import importable, stored, table
+from landfall.llm.common import prepared, stored, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Documents whose most likely language is less likely than this are rejected.
@@ -24,7 +24,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     The model learns from all documents that have a language.
     """
-    importable(spark)
+    prepared(spark)
     found = langid.identified(docs.select(*COLUMNS), langid.learned(docs, F.lit(True)))
     likely = found.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
     return likely.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
@@ -32,6 +32,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that many share. One that has no line left stays, empty."""
+    prepared(spark)
     kept = lines.without_shared_lines(docs.select(*COLUMNS))
     return kept.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*COLUMNS)
 
@@ -42,7 +43,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows that repeat an id are one document: the first of them in the order of their columns stays. Rows without an
     id cannot be told apart and stay.
     """
-    importable(spark)
+    prepared(spark)
     groups = jaccard.similar(docs.select("doc_id", "text"))
     staying = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     rest = [c for c in COLUMNS if c != "doc_id"]
@@ -52,12 +53,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents, each as often as the mix of sources takes it."""
+    prepared(spark)
     return mixing.mixed(docs.select(*COLUMNS))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences, with their token ids."""
-    importable(spark)
+    prepared(spark)
     return packing.packed(docs)
 
 

@@ -18,12 +18,21 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: The most rows and bytes of a table that is broadcast.
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 8 << 20
+#: The most bytes of a batch of rows that a Python worker gets, but for a single row.
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
 #: How many tasks a key of the larger side is spread over where the table is too large for that.
 SALTS = 16
 
 
-def importable(spark: SparkSession) -> None:
-    """Lets Python workers import this package from where the driver did, if they see that folder."""
+def prepared(spark: SparkSession) -> None:
+    """Readies a session for the operators that work in Python.
+
+    Workers may import this package from where the driver did, if they see that folder, and get rows in batches
+    of bounded size unless the session says otherwise, so that long texts do not fill their memory.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):

@@ -29,6 +29,8 @@ SAMPLE = 4000
 EPOCHS = 2
 RATE, SMOOTH, L1, L2 = 0.5, 1.0, 0.02, 0.01
 TIMES = 100.0
+#: Bytes of texts whose n-grams are in memory at once; a text is never cut.
+SLICE_BYTES = 1 << 19
 UNKNOWN = "und"
 SEED = 5
 
@@ -87,7 +89,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         last = np.full(SIZE, -1)
         for batch in batches:
             texts = batch.column(0)
-            for low, high in slices(texts):
+            for low, high in slices(texts, SLICE_BYTES):
                 found, ends = grams(texts.slice(low, high - low))
                 for i in range(high - low):
                     last[found[ends[i] : ends[i + 1]]] = n
@@ -119,7 +121,7 @@ def sample(docs: DataFrame, limit: int = SAMPLE) -> list[tuple[str, bool, np.nda
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1)
-            for low, high in slices(texts):
+            for low, high in slices(texts, SLICE_BYTES):
                 found, ends = grams(texts.slice(low, high - low))
                 rows = [np.unique(found[a:b], return_counts=True) for a, b in zip(ends[:-1], ends[1:])]
                 yield pa.record_batch(
@@ -221,7 +223,7 @@ def identified(docs: DataFrame, model: Model | None) -> DataFrame:
         for batch in batches:
             texts = batch.column(0)
             langs, scores = [], []
-            for low, high in slices(texts):
+            for low, high in slices(texts, SLICE_BYTES):
                 found, ends = grams(texts.slice(low, high - low))
                 known = np.diff(ends) > 0
                 if model is None:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.llm import ann, chat, jaccard, langid, lines, mixing, packing, pii, quality, rules
-from landfall.llm.common import importable, table
+from landfall.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -16,7 +16,7 @@ QUERIES: dict[str, Query] = {}
 
 def query(build: Query) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        importable(spark)
+        prepared(spark)
         return build(spark, folder)
 
     QUERIES[build.__name__] = run

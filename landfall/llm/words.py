@@ -94,14 +94,14 @@ class Words:
         return mix(value), begin
 
 
-def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Ranges of texts with a bounded number of bytes each, or of one text."""
+def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with at most so many bytes each, or of one text."""
     size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     total = np.cumsum(size)
     at = 0
     while at < len(size):
         done = total[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(total, done + SLICE_BYTES, "right")))
+        to = max(at + 1, int(np.searchsorted(total, done + most, "right")))
         yield at, to
         at = to
 
