@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import re
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 from landfall.sources.files import remove
@@ -38,5 +40,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def _remove(spark: SparkSession, folder: str) -> None:
     """Only while the application still runs; a cluster's own clean-up of that folder takes the rest."""
-    if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
-        remove(spark, folder)
+    with contextlib.suppress(Py4JError):
+        if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
+            remove(spark, folder)
