@@ -133,7 +133,7 @@ def fit(turns: list[tuple]) -> Model:
     first, change = np.ones(k), np.ones((3, k, k))
     change[1] += 0.5
     seen = [np.ones((k, n)) for _, n in SEEN]
-    seen[0][:, :k] = 1e-4 + 50.0 * np.eye(k)
+    seen[0][:, :k] = 1e-9 + 50.0 * np.eye(k)
     seen[0][:, k] = 10.0
     last, before = None, None
     for conversation, turn, role, text in turns:
