@@ -5,6 +5,7 @@ from landfall.operators.joins import DEFAULT, JoinPolicy, attach_lookup, decode,
 from landfall.operators.quality import (
     QualityError,
     collected,
+    differing_report,
     key_report,
     month_report,
     require_pass,
@@ -18,6 +19,7 @@ __all__ = [
     "attach_lookup",
     "collected",
     "decode",
+    "differing_report",
     "distinct_union",
     "group_stats",
     "join_facts",

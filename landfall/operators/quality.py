@@ -84,6 +84,22 @@ def key_report(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     return _stack(reports)
 
 
+def differing_report(table: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """For each value column, how many keys there are and on how many of them the rows disagree.
+
+    Meant for tables that repeat a key's figures on several rows, before one row per key is made of them.
+    A null beside a value is a difference.
+    """
+    counts = []
+    for i, v in enumerate(values):
+        column = F.col(f"`{v}`")
+        counts.append(((F.min(column) != F.max(column)) | ((F.count(column) > 0) & (F.count(column) < F.count(F.lit(1))))).alias(f"d{i}"))
+    per_key = table.groupBy(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)]).agg(*counts)
+    totals = per_key.agg(F.count(F.lit(1)).alias("n_keys"), *[F.count_if(f"d{i}").alias(f"d{i}") for i in range(len(values))])
+    rows = F.explode(F.array(*[F.struct(F.lit(v).alias("column"), F.col(f"d{i}").alias("n_differing")) for i, v in enumerate(values)]))
+    return totals.select("n_keys", rows.alias("r")).select("r.column", "n_keys", "r.n_differing", _status(F.col("r.n_differing") == 0).alias("status"))
+
+
 def require_pass(report: DataFrame) -> DataFrame:
     """Stop with an error that names the failed checks; otherwise give the report.
 

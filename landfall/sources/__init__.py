@@ -1,6 +1,6 @@
 """Raw feeds, lake tables and where they lie."""
 
-from landfall.sources.feeds import read_arrivals, read_feed
+from landfall.sources.feeds import read_arrivals, read_feed, unread_report
 from landfall.sources.layout import LakeLayout, RawLayout
 from landfall.sources.tables import read_months, read_table, write_months, write_table
 
@@ -11,6 +11,7 @@ __all__ = [
     "read_feed",
     "read_months",
     "read_table",
+    "unread_report",
     "write_months",
     "write_table",
 ]

@@ -130,6 +130,18 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, separator: str
     )
 
 
+def unread_report(spark: SparkSession, path: str, schema: StructType, separator: str = ",") -> DataFrame:
+    """For each typed column of a delimited file, how many texts there are and how many its type cannot read."""
+    text = spark.read.option("header", True).option("sep", separator).csv(path)
+    typed = [f for f in schema.fields if f.dataType != TEXT]
+    counts = []
+    for i, f in enumerate(typed):
+        filled = F.trim(F.col(f"`{f.name}`")) != ""
+        counts += [F.count_if(filled).alias(f"n{i}"), F.count_if(filled & F.col(f"`{f.name}`").try_cast(f.dataType).isNull()).alias(f"u{i}")]
+    rows = [F.struct(F.lit(f.name).alias("column"), F.col(f"n{i}").alias("n_texts"), F.col(f"u{i}").alias("n_unread")) for i, f in enumerate(typed)]
+    return text.agg(*counts).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def read_feed(spark: SparkSession, feed: str, path: str) -> DataFrame:
     return read_csv(spark, path, FEEDS[feed].schema, FEEDS[feed].separator)
 

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructType
 
 from landfall import functions as X
 from landfall import operators as O
@@ -445,6 +446,21 @@ def key_quality(star: Star) -> DataFrame:
     )
 
 
+@query
+def differing_figures(star: Star) -> DataFrame:
+    """Cities whose survey rows give different figures."""
+    return O.differing_report(standins.demographics(star), ["City", "State Code"], ["Median Age", "Total Population", "Number of Veterans", "Count"])
+
+
+@query
+def unread_texts(star: Star) -> DataFrame:
+    """Texts of a delimited file that are no numbers."""
+    path = scratch_path(star.spark, "flags")
+    table = star.customer.select("c_custkey", F.when(F.col("c_acctbal") < 0, "debt").otherwise("1").alias("flag"))
+    table.write.option("header", True).csv(path)
+    return S.unread_report(star.spark, path, StructType().add("c_custkey", LongType()).add("flag", IntegerType()))
+
+
 @query
 def dimension_refresh(star: Star) -> DataFrame:
     """The seven dimension tables from CSV files; the weather of each airport read back."""

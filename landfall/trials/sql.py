@@ -256,6 +256,26 @@ SQL = {
               union all select 'lineitem', count(*), count(distinct l_orderkey) from lineitem
               union all select 'city', count(*), count(distinct city_id) from city)"""
     ),
+    "differing_figures": f"""
+        with figures as (
+            select {CITY_NAME} as city, n_name, floor(c_acctbal / 100) as age, c_custkey * 7 as population,
+                case when c_acctbal <= 9000 then c_custkey end as veterans from customer join nation on c_nationkey = n_nationkey
+        ),
+        per_key as (
+            select min(age) <> max(age) as a, min(population) <> max(population) as p,
+                coalesce(min(veterans) <> max(veterans), false) or (count(veterans) > 0 and count(veterans) < count(*)) as v
+            from figures group by city, n_name
+        ),
+        counted as (
+            select 'Median Age' as "column", count(*) as n_keys, count(*) filter (a) as n_differing from per_key
+            union all select 'Total Population', count(*), count(*) filter (p) from per_key
+            union all select 'Number of Veterans', count(*), count(*) filter (v) from per_key
+            union all select 'Count', count(*), 0 from per_key
+        )
+        select *, case when n_differing = 0 then 'SUCCESS' else 'FAIL' end as status from counted""",
+    "unread_texts": """
+        select 'c_custkey' as "column", count(*) as n_texts, 0::bigint as n_unread from customer
+        union all select 'flag', count(*), count(*) filter (c_acctbal < 0) from customer""",
     "dimension_refresh": _with("select * from weather"),
     "backfill": _with("select * from mart"),
     "backfill_in_parts": _with(f"{MONTHLY} select * from per_month"),
