@@ -23,6 +23,8 @@ BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 4 << 20
 #: How many tasks a key of the larger side is spread over where the table is too large for that.
 SALTS = 16
+#: A key that holds more than one in so many rows of a table is hot, so there are fewer hot keys than this.
+HOT_KEYS = 4096
 
 
 def prepared(spark: SparkSession) -> None:
@@ -95,3 +97,16 @@ def attach(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], spread: str)
     every = named.withColumn("__salt_b", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     dealt = rows.withColumn("__salt_a", F.pmod(F.xxhash64(F.col(quoted(spread))), F.lit(SALTS)).cast("int"))
     return dealt.join(every, on & (F.col("__salt_a") == F.col("__salt_b")), "left").drop(*drop, "__salt_a", "__salt_b")
+
+
+def join_counted(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], held: str, total: int) -> DataFrame:
+    """An inner join of two stored tables. ``lookup`` has one row per combination of ``keys``, and in ``held`` how many of
+    the ``total`` rows of ``rows`` have it; null equals no key.
+
+    Hot keys would make a shuffle by key uneven, so their rows stay where they are and get the few hot rows of
+    ``lookup`` by broadcast. All other rows are shuffled.
+    """
+    hot = F.col(held) * HOT_KEYS > total
+    many = F.broadcast(lookup.filter(hot))
+    rest = rows.join(many.select(*keys), list(keys), "left_anti").join(lookup.filter(~hot), list(keys))
+    return rows.join(many, list(keys)).unionByName(rest)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.common import UPPER, fresh, quoted, stored, trimmed
+from landfall.llm.common import UPPER, fresh, join_counted, quoted, stored, trimmed
 
 LEAST_CHARS = 40
 LEAST_DOCS = 5
@@ -32,7 +32,7 @@ def shared_keys(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int
     """``doc_id`` and the hashes (``drops``) of the keys whose lines that document loses.
 
     Only hashes and ids are shuffled. A key that very many documents hold is combined in each
-    task before the count; in the join that follows its rows are narrow and AQE splits them.
+    task before the count, and its rows are not shuffled by key for the join that follows.
     """
     line = docs.select("doc_id", F.explode(F.array_distinct(F.transform(_lines(F.col("text")), line_key))).alias("key"))
     held = stored(
@@ -41,10 +41,13 @@ def shared_keys(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int
     )
     # A null id counts as one document, below all others.
     counted = held.groupBy("a", "b").agg(
-        F.count_distinct("doc_id").alias("n"), F.max(F.col("doc_id").isNull().cast("int")).alias("none"), F.max("doc_id").alias("last")
+        F.count_distinct("doc_id").alias("n"),
+        F.count(F.lit(1)).alias("rows"),
+        F.max(F.col("doc_id").isNull().cast("int")).alias("none"),
+        F.max("doc_id").alias("last"),
     )
-    over = counted.filter(F.col("n") + F.col("none") >= least_docs).select("a", "b", "last")
-    losing = held.join(over, ["a", "b"]).filter(~F.col("doc_id").eqNullSafe(F.col("last")))
+    over = stored(counted.filter(F.col("n") + F.col("none") >= least_docs).select("a", "b", "rows", "last"), "shared-keys")
+    losing = join_counted(held, over, ["a", "b"], "rows", held.count()).filter(~F.col("doc_id").eqNullSafe(F.col("last")))
     return losing.groupBy("doc_id").agg(F.collect_set(F.struct("a", "b")).alias("drops"))
 
 

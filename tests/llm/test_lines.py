@@ -1,7 +1,9 @@
 from collections import Counter
 
+import pytest
 from cases import FOLD, documents, table
 
+from landfall.llm import common
 from landfall.llm import lines as L
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -23,7 +25,10 @@ def brute(rows):
     return Counter(out)
 
 
-def test_all_cases_against_plain_loops(spark):
+@pytest.mark.parametrize("hot_keys", [common.HOT_KEYS, 15, 1])
+def test_all_cases_against_plain_loops(spark, monkeypatch, hot_keys):
+    """With all, some and no shared keys hot."""
+    monkeypatch.setattr(common, "HOT_KEYS", hot_keys)
     got = L.without_shared_lines(table(spark, extra=False)).select("doc_id", "text", "n_lines", "n_dropped")
     expected = brute(documents())
     assert sum(e[3] for e in expected) > 10
