@@ -12,8 +12,9 @@
    the DivideSkip search: its longest lists, at most T - 1, are set aside; the short ones are merged,
    and nodes found in at least T minus their number are candidates. These are looked up in the
    long lists by binary search until they can no longer reach T. The overlap found is exact.
-   Candidates that earlier links of the unit connect already are passed over, so a group of
-   copies gives as many links as it has members and not as many as it has pairs.
+   The lists are searched in ranges of numbers, of few nodes first, and what the links found in one range connect
+   is taken out of the lists before the next. So a group of near copies gives as many links as it has members and
+   not as many as it has pairs, and most of its members are compared with few others.
 5. Links give components, and these the smallest document of each.
 
 Shingles and sets are known by 64-bit hashes; all else is exact, with no limit on lists or partners.
@@ -40,6 +41,8 @@ BUCKET = 400_000
 #: Shingles of a chunk of a block, and of the units that one task takes together.
 CHUNK = 2_000_000
 TOGETHER = 1_000_000
+#: Numbers in the first range of lists that a query searches; each further range is so many times as long.
+FIRST_RANGE, LONGER = 16, 8
 #: The weight of a binary search against a step of the merge, as published with the method.
 MU = 0.0085
 
@@ -261,11 +264,8 @@ class Index:
         return out
 
 
-def divide_skip(lists: list[np.ndarray], least: int, skip=None) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers that occur in at least ``least`` of some sorted lists, and in how many.
-
-    ``skip`` tells of an array of numbers which ones are not wanted.
-    """
+def divide_skip(lists: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers that occur in at least ``least`` of some sorted lists, and in how many."""
     none = np.empty(0, np.int64), np.empty(0, np.int64)
     if len(lists) < least:
         return none
@@ -273,16 +273,13 @@ def divide_skip(lists: list[np.ndarray], least: int, skip=None) -> tuple[np.ndar
     aside = min(least - 1, int(least / (MU * np.log2(len(lists[-1]) + 1) + 1)))
     short, long = lists[: len(lists) - aside], lists[len(lists) - aside :]
     found, count = merged(short, least - aside)
-    if skip is not None and len(found):
-        wanted = ~skip(found)
-        found, count = found[wanted], count[wanted]
     for left, entries in zip(range(len(long), 0, -1), long):
         reach = count + left >= least
         if not reach.all():
             found, count = found[reach], count[reach]
         if not len(found):
             return none
-        at = np.minimum(np.searchsorted(entries, found), len(entries) - 1)
+        at = np.minimum(entries.searchsorted(found), len(entries) - 1)
         count = count + (entries[at] == found)
     enough = count >= least
     return found[enough], count[enough]
@@ -308,6 +305,28 @@ def merged(lists: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]
     return np.array(found, np.int64), np.array(count, np.int64)
 
 
+def ranges(low: int, high: int) -> Iterator[tuple[int, int]]:
+    """Ranges that make up ``low`` to ``high``, from the highest down, each ``LONGER`` times as long as the one before."""
+    length = FIRST_RANGE
+    while high > low:
+        yield max(low, high - length), high
+        high, length = high - length, LONGER * length
+
+
+def between(lists: list[np.ndarray], low: int, high: int) -> list[np.ndarray]:
+    """What sorted lists hold from ``low`` to below ``high``; lists with none are left out."""
+    parts = (x[x.searchsorted(low) : x.searchsorted(high)] for x in lists)
+    return [x for x in parts if len(x)]
+
+
+def without(lists: list[np.ndarray], gone: np.ndarray) -> list[np.ndarray]:
+    """Lists without the numbers that an array of flags marks; lists with no others are left out."""
+    flat = np.concatenate(lists)
+    stays = ~gone[flat]
+    ends = np.cumsum(stays)[np.cumsum([len(x) for x in lists]) - 1]
+    return [x for x in np.split(flat[stays], ends[:-1]) if len(x)]
+
+
 def unit_links(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int, spanning: bool) -> list[tuple[int, int]]:
     """Linked pairs of numbers within ``left``, or between ``left`` and ``right``; both are sorted by size.
 
@@ -325,15 +344,24 @@ def unit_links(left: list[np.ndarray], right: list[np.ndarray] | None, percent:
         if low >= high:
             continue
         own = q if right is None else len(left) + q
-        skip = (lambda x: root[x] == root[own]) if spanning else None
-        near, both = divide_skip(index.lists(query, low, high), least, skip)
-        good = both * 100 >= (n + index.size[near] - both) * percent
-        for other in near[good].tolist():
-            if spanning:
-                if root[other] == root[own]:
-                    continue
-                root[root == root[other]] = root[own]
-            out.append((other, q))
+        lists = index.lists(query, low, high)
+        dense = sum(map(len, lists)) > FIRST_RANGE * len(lists)
+        for a, b in ranges(low, high) if spanning and dense else [(low, high)]:
+            if len(lists) < least:
+                break
+            near, both = divide_skip(between(lists, a, b), least)
+            good = near[both * 100 >= (n + index.size[near] - both) * percent].tolist()
+            if not spanning:
+                out.extend((other, q) for other in good)
+                continue
+            more = False
+            for other in good:
+                if root[other] != root[own]:
+                    root[root == root[other]] = root[own]
+                    out.append((other, q))
+                    more = True
+            if more:
+                lists = without(lists, root == root[own])
     return out
 
 

@@ -114,3 +114,24 @@ def test_components_of_paths_stars_and_loops(spark):
             group[a] = group[b] = min(group[a], group[b])
     assert got == {n: g for n, g in group.items() if any(n in e and e[0] != e[1] for e in edges)}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_a_search_in_ranges_connects_what_one_range_connects():
+    random_ = np.random.default_rng(5)
+    base = random_.integers(0, 1 << 40, 60)
+    sets = []
+    for i in range(150):
+        own = base.copy()
+        own[random_.choice(60, i % 12, replace=False)] = random_.integers(0, 1 << 40, i % 12)
+        sets.append(np.unique(own))
+    sets.sort(key=len)
+    for left, right in ((sets, None), (sets[::2], sets[1::2])):
+        n = len(left) + len(right or [])
+        groups = []
+        for spanning in (True, False):
+            root = list(range(n))
+            for a, b in J.unit_links(left, right, 80, spanning):
+                old, new = root[b if right is None else len(left) + b], root[a]
+                root = [new if x == old else x for x in root]
+            groups.append({frozenset(i for i in range(n) if root[i] == x) for x in root})
+        assert groups[0] == groups[1] and 1 < len(groups[0]) < n
