@@ -251,9 +251,11 @@ class Index:
 
     def lists(self, query: np.ndarray, low: int, high: int) -> list[np.ndarray]:
         """The lists of the tokens of a query, as far as they hold numbers from ``low`` to ``high``."""
+        # A set is sorted as unsigned numbers, so where its signed numbers lie beyond the tokens can be anywhere in it.
         at = np.searchsorted(self.token, query)
-        at = at[at < len(self.token)] if len(at) and at[-1] >= len(self.token) else at
-        at = at[self.token[at] == query[: len(at)]]
+        inside = at < len(self.token)
+        at, query = at[inside], query[inside]
+        at = at[self.token[at] == query]
         out = []
         for a, b in zip(self.begin[at].tolist(), self.end[at].tolist()):
             part = self.owner[a:b]

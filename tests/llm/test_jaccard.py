@@ -97,6 +97,29 @@ def test_units_find_every_link(two):
     assert set(spanning) <= plain and len(spanning) < len(left) + len(other)
 
 
+@pytest.mark.parametrize("spanning", [False, True])
+def test_units_of_two_chunks_with_hashes_of_both_signs(spanning):
+    r = np.random.default_rng(8)
+    base = r.integers(0, 1 << 64, 60, dtype=np.uint64)
+    high = np.array([(1 << 63) - 1, (1 << 64) - 1], np.uint64)  # beyond all others of their sign
+
+    def some(n, more):
+        sets = []
+        for i in range(n):
+            own = base.copy()
+            own[r.choice(60, i % 12, replace=False)] = r.integers(0, 1 << 64, i % 12, dtype=np.uint64)
+            sets.append(np.unique(np.concatenate((own, more))).view(np.int64))  # the order that sets_of gives
+        return sorted(sets, key=len)
+
+    for more in (high[:0], high[:1], high[1:], high):
+        left, right = some(20, high[:0]), some(15, more)
+        plain = {(i, j) for i in range(20) for j in range(15) if linked(set(left[i].tolist()), set(right[j].tolist()))}
+        got = set(J.unit_links(left, right, 80, spanning))
+        assert len(plain) > 10 and (got <= plain and len({j for _, j in got}) >= len({j for _, j in plain}) - 1 if spanning else got == plain)
+        negative = [np.unique(x[x < 0]) for x in left]
+        assert {(i, i) for i in range(20)} <= set(J.unit_links(negative, [np.append(n, 1) for n in negative], 80, False))
+
+
 def test_prefixes_hold_enough_common_shingles():
     for n in range(1, 400):
         assert 1 <= J.prefix_length(n) <= n
