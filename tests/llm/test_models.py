@@ -198,6 +198,35 @@ def test_spans_added_by_the_trees_do_not_touch_the_base(spark):
     assert len(added) <= 0.02 * sum(map(len, got.values())) + 2
 
 
+LOOSE_FORMS = {
+    "email": ["ann.lee (at) mail (dot) example (dot) org", "bob[at]example[dot]net", "eve@intranet"],
+    "ip": ["10, 20, 30, 40", "192 . 168 . 7 . 9"],
+    "card": ["4111.1111.1111.1111", "4111/1111/1111/1111"],
+    "phone": ["743-555-3824", "(743) 555-3824", "743.555.3824", "001 743 555 3824"],
+}
+WRONG_FORMS = ["10, 20, 300, 40", "4111.1111.1111.1116", "4111/1111/1111/1112", "version 743.555.3824"]
+
+
+def test_planted_loose_forms_are_added(spark):
+    r = random.Random(9)
+    rows, planted, wrong = personal(1500), {}, {}
+    for i in range(220):  # so many that they are in the sample
+        kind = list(LOOSE_FORMS)[i % 4]
+        form, before = r.choice(LOOSE_FORMS[kind]), prose(r, 6) + " "
+        planted[5000 + i] = (kind, len(before), len(before) + len(form))
+        rows.append((5000 + i, before + form + " " + prose(r, 6), "en", "a", 1))
+        form = r.choice(WRONG_FORMS)
+        wrong[9000 + i] = before + form + " " + prose(r, 6)
+        rows.append((9000 + i, wrong[9000 + i], "en", "a", 1))
+    docs = table(spark, rows, extra=False)
+    got = {d["doc_id"]: d["spans"] for d in pii.found(docs, pii.learned(docs)).collect()}
+    for form_kind in LOOSE_FORMS:
+        own = {i: p for i, p in planted.items() if p[0] == form_kind}
+        hit = sum(p in {(s["kind"], s["start"], s["end"]) for s in got[i]} for i, p in own.items())
+        assert hit >= 0.9 * len(own), (form_kind, hit, len(own))
+    assert sum(any(not s["base"] for s in got[i]) for i in wrong) <= 0.05 * len(wrong)
+
+
 def test_personal_data_of_awkward_texts(spark):
     docs = table(spark)
     assert pii.learned(table(spark, [])) is None
