@@ -7,7 +7,8 @@ never elsewhere. The chances are counted on a bounded sample of conversations wi
 most likely roles of a whole conversation are found by Viterbi, and successive lines of a role within
 a block become one rendered turn.
 
-A conversation is worked on in chunks of turns. For those with more than one chunk, each chunk first
+A conversation is worked on in chunks of so many rows, whatever their turn numbers. Those with more than one chunk
+are sorted and numbered by Spark, and each chunk first
 gives the best score from every role before it to every role at its end. These small tables are combined
 along the conversation, which fixes the roles at the borders, and then each chunk is decoded by itself. The
 result is that of one long pass.
@@ -22,18 +23,19 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from landfall.llm.common import stored
 
 ROLES = ("system", "user", "assistant")
-#: Turns of a chunk, and conversations to count chances on, at most on average.
+#: Rows of a chunk (in the sample: turns), and conversations to count chances on, at most on average.
 CHUNK = 2048
 SAMPLE = 5000
 SEED = 17
-#: Blocks that one task decodes together, on average.
+#: Blocks that one task decodes together, on average, and chunks that one sorts.
 GROUP = 4000
+SORTED = 16
 #: How seldom a role changes inside a block where no marker is.
 SLIP = 1e-6
 
@@ -170,6 +172,27 @@ def rendered(role: str, text: str) -> str:
     return f"<|{role}|>\n{text.strip()}\n<|end|>"
 
 
+def numbered(rows: DataFrame, total: int) -> DataFrame:
+    """``rows`` of long conversations with their ``place`` in the order of all and the ``chunk`` of their conversation.
+
+    Spark sorts them by range over as many tasks as the ``total`` asks for, also where they repeat, so that no
+    conversation has to fit in a task. Places follow each other within a sorted part; counts of the parts before
+    give the number of a row in its conversation.
+    """
+    keys = ["conv_id", "turn", F.coalesce("text", F.lit("")), "tie"]
+    parts = 1 + total // (SORTED * CHUNK)
+    dealt = rows.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    placed = stored(dealt.drop("tie").withColumn("place", F.monotonically_increasing_id()), "long-rows")
+    part = F.shiftright("place", 33)
+    counts = placed.groupBy("conv_id", part.alias("part")).agg(F.count(F.lit(1)).alias("rows"), F.min("place").alias("low"))
+    earlier = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("rows").over(earlier), F.lit(0)) - F.col("low")
+    starts = counts.select(F.col("conv_id").alias("start_id"), F.col("part").alias("start_part"), before.alias("shift"))
+    same = F.col("conv_id").eqNullSafe(F.col("start_id")) & (part == F.col("start_part"))
+    chunk = F.floor((F.col("place") + F.col("shift")) / CHUNK).alias("chunk")
+    return placed.join(F.broadcast(stored(starts, "long-starts")), same).select("conv_id", "turn", "text", chunk, "place")
+
+
 def parsed(conversations: DataFrame, model: Model) -> DataFrame:
     """Per recovered turn: ``conv_id``, ``turn``, ``part``, ``role``, ``text`` and its canonical form ``rendered``.
 
@@ -179,14 +202,17 @@ def parsed(conversations: DataFrame, model: Model) -> DataFrame:
     a ``conv_id`` are one conversation. An empty table gives no rows; other columns are not looked at.
     """
     shared = conversations.sparkSession.sparkContext.broadcast(model)
-    chunk = F.floor(F.coalesce(F.col("turn"), F.lit(-1)) / CHUNK).alias("chunk")
-    rows = conversations.select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), "text", chunk)
-    spans = rows.groupBy("conv_id").agg(F.min("chunk").alias("low"), F.max("chunk").alias("high")).filter("low < high")
-    long = stored(spans.select(F.col("conv_id").alias("long_id")), "long-conversations")
+    rows = conversations.select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), "text")
+    sizes = rows.groupBy("conv_id").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > CHUNK)
+    long = F.broadcast(stored(sizes.select(F.col("conv_id").alias("long_id")), "long-conversations"))
+    null_safe = F.col("conv_id").eqNullSafe(F.col("long_id"))
+    total = conversations.count()
+    of_long = numbered(rows.join(long, null_safe, "left_semi"), total)
 
     def prepared(table: pa.Table):
         turns, texts = table.column("turn").to_pylist(), table.column("text").to_pylist()
-        order = sorted(range(len(turns)), key=lambda i: (turns[i] is not None, turns[i] or 0, texts[i] or "", i))
+        place = table.column("place").to_pylist()
+        order = sorted(range(len(turns)), key=lambda i: (place[i] or 0, turns[i] is not None, turns[i] or 0, texts[i] or "", i))
         blocks = [(turns[i], lines_of(texts[i], turns[i])) for i in order]
         seen = np.array([s for _, lines in blocks for s, _, _ in lines])
         begins = np.array([b for _, lines in blocks for _, b, _ in lines])
@@ -213,12 +239,13 @@ def parsed(conversations: DataFrame, model: Model) -> DataFrame:
         entry = [-1, *leave[:-1]]
         return pd.DataFrame({"long_id": [key[0]] * len(leave), "long_chunk": table["chunk"].to_numpy(), "entry": entry, "leave": leave})
 
-    null_safe = F.col("conv_id").eqNullSafe(F.col("long_id"))
-    of_long = rows.join(long, null_safe, "left_semi")
     tables = of_long.groupBy("conv_id", "chunk").applyInArrow(summary, "conv_id bigint, chunk bigint, best array<double>")
     known = tables.groupBy("conv_id").applyInPandas(borders, "long_id bigint, long_chunk bigint, entry int, leave int")
     known = stored(known, "borders")
-    joined = rows.join(known, null_safe & (F.col("chunk") == F.col("long_chunk")), "left").select("conv_id", "chunk", "turn", "text", "entry", "leave")
+    joined = of_long.join(known, null_safe & (F.col("chunk") == F.col("long_chunk")), "left").drop("long_id", "long_chunk")
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("place", "bigint"), ("entry", "int"), ("leave", "int"))]
+    short = rows.join(long, null_safe, "left_anti").select("*", F.lit(0).cast("bigint").alias("chunk"), *none)
+    joined = joined.unionByName(short)
 
     def turns(table: pa.Table) -> pa.Table:
         out: list[tuple] = []
@@ -246,6 +273,6 @@ def parsed(conversations: DataFrame, model: Model) -> DataFrame:
         return pa.table([*columns, pa.array([rendered(r[3], r[4]) for r in out], pa.string())], names=["conv_id", "turn", "part", "role", "text", "rendered"])
 
     # Many chunks to a task, each whole in one of them.
-    tasks = F.pmod(F.xxhash64("conv_id", "chunk"), F.lit(1 + conversations.count() // GROUP)).alias("task")
+    tasks = F.pmod(F.xxhash64("conv_id", "chunk"), F.lit(1 + total // GROUP)).alias("task")
     schema = "conv_id bigint, turn bigint, part int, role string, text string, rendered string"
     return joined.select("*", tasks).groupBy("task").applyInArrow(turns, schema)

@@ -75,3 +75,20 @@ def test_awkward_conversations(spark):
     assert all(g["role"] in chat.ROLES and g["rendered"].startswith(f"<|{g['role']}|>") for g in got)
     empty = frame.limit(0)
     assert chat.parsed(empty, chat.learned(empty)).count() == 0
+
+
+def test_rows_without_numbers_are_cut_into_bounded_chunks(spark, monkeypatch):
+    r = random.Random(4)
+    texts = [("Why is it?", "Because it is so.\n" * 4, "And then what?", "", None)[r.randrange(5)] for _ in range(150)]
+    rows = [(None, None, None, t) for t in texts] + [(7, 3, None, f"{t} {i}") for i, t in enumerate(texts)] + [(8, 0, None, "same")] * 90 + [(9, 0, None, "hi?")]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    m = model()
+    whole = Counter(tuple(x) for x in chat.parsed(frame, m).collect())
+    monkeypatch.setattr(chat, "CHUNK", 16)
+    monkeypatch.setattr(chat, "SORTED", 2)
+    of_long = chat.numbered(frame.filter("conv_id is null or conv_id < 9").select("conv_id", "turn", "text"), len(rows))
+    sizes = {(x["conv_id"], x["chunk"]): x["count"] for x in of_long.groupBy("conv_id", "chunk").count().collect()}
+    assert max(sizes.values()) == 16 and len(sizes) == 10 + 10 + 6
+    assert of_long.selectExpr("count(distinct shiftright(place, 33))").first()[0] > 2
+    got = Counter(tuple(x) for x in chat.parsed(frame, m).collect())
+    assert got == whole and sum(whole.values()) >= len(rows)
