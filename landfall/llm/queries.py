@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm import ann, chat, jaccard, langid, lines, mixing, packing, pii, quality, rules
+from landfall.llm import ann, chat, decontaminate, jaccard, langid, lines, mixing, negatives, packing, pii, quality, repair, rules
 from landfall.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,3 +103,25 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op10_chat_roles(spark: SparkSession, folder: str) -> DataFrame:
     conversations = table(spark, folder, "conversations")
     return chat.parsed(conversations, chat.learned(conversations))
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    return repair.told(conversations, repair.damaged(conversations))
+
+
+def _items_digest(items: Column) -> Column:
+    return F.sha2(F.array_join(F.array_sort(F.transform(items, lambda i: i.cast("string"))), ","), 256)
+
+
+@query
+def op12_benchmark_passages(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"), slop=0)
+    n_items = F.size("items").cast("bigint").alias("n_items")
+    return found.select("doc_id", "n_words", "n_hit", n_items, _items_digest(F.col("items")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.mined(negatives.relabelled(table(spark, folder, "embeddings")), every=50, positives=5, negatives=3)

@@ -67,3 +67,54 @@ kept as (
 """
 
 SQL["op9_line_dedup"] = LINES.format(docs="documents") + "select doc_id, n_lines, n_dropped, sha256(text) as kept_sha256 from kept"
+
+SQL["op12_benchmark_passages"] = r"""
+with words as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from documents
+), asked as (
+    select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from benchmark
+), windows as (
+    select distinct item_id, least(len(w), 10) as n, array_to_string(list_slice(w, i, i + 9), ' ') as passage
+    from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from asked where len(w) > 0)
+), found as (
+    select d.doc_id, d.i, q.n, q.item_id
+    from (
+        select doc_id, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') as passage
+        from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from words, (select distinct n from windows))
+    ) d
+    join windows q on d.n = q.n and d.passage = q.passage
+), hits as (
+    select doc_id, count(distinct spot) as n_hit from (select doc_id, unnest(range(i, i + n)) as spot from found) group by doc_id
+), items as (
+    select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as listed
+    from (select distinct doc_id, cast(item_id as varchar) as item from found) group by doc_id
+)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+    sha256(coalesce(listed, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from words left join hits using (doc_id) left join items using (doc_id)
+"""
+
+SQL["op13_hard_negatives"] = """
+with r as (
+    select distinct vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * cast(x as double))) as p
+    from embeddings
+    where label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+), scores as (
+    select a.vec_id as anchor_id, a.label as anchor_label, b.vec_id, b.label, cast(list_dot_product(a.p, b.p) as bigint) as score
+    from r a join r b on a.vec_id <> b.vec_id
+    where a.vec_id % 50 = 0
+), positives as (
+    select anchor_id, anchor_label, vec_id as positive_id, score as positive_score
+    from scores where label = anchor_label
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select p.anchor_id, positive_id, row_number() over (partition by p.anchor_id, positive_id order by s.score desc, s.vec_id) as rank,
+    s.vec_id as negative_id, positive_score, s.score as negative_score
+from positives p join scores s on s.anchor_id = p.anchor_id and s.label <> p.anchor_label
+    and 50 * positive_score <= 100 * s.score and 100 * s.score <= 95 * positive_score
+qualify rank <= 3
+"""

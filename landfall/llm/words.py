@@ -106,8 +106,8 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]
         at = to
 
 
-def words_of(texts: pa.Array, fold: bool = False) -> Words:
-    """The words of an Arrow array of texts; null is empty. ``fold`` lower-cases A to Z."""
+def words_of(texts: pa.Array, fold: bool = False, parting: np.ndarray = SPACE) -> Words:
+    """The words of an Arrow array of texts; null is empty. ``fold`` lower-cases A to Z; ``parting`` flags the bytes between words."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
     body = texts.buffers()[2]
@@ -115,7 +115,7 @@ def words_of(texts: pa.Array, fold: bool = False) -> Words:
     bounds = offsets - offsets[0]
     if fold:
         data = _FOLD[data]
-    inner = ~SPACE[data]
+    inner = ~parting[data]
     begins = inner.copy()
     begins[1:] &= ~inner[:-1]
     edge = bounds[:-1][bounds[:-1] < len(data)]
