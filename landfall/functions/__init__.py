@@ -3,6 +3,7 @@
 from landfall.functions.columns import (
     days_to_date,
     hemisphere_degrees,
+    key_text,
     last_part,
     month_key,
     month_key_of,
@@ -10,12 +11,14 @@ from landfall.functions.columns import (
     number,
     pair_part,
     surrogate_key,
+    text_key,
     text_to_date,
 )
 
 __all__ = [
     "days_to_date",
     "hemisphere_degrees",
+    "key_text",
     "last_part",
     "month_key",
     "month_key_of",
@@ -23,5 +26,6 @@ __all__ = [
     "number",
     "pair_part",
     "surrogate_key",
+    "text_key",
     "text_to_date",
 ]

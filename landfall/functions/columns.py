@@ -91,15 +91,26 @@ def months_between(first: dt.date, last: dt.date) -> list[str]:
     return [month_key_of(dt.date(m // 12, m % 12 + 1, 1)) for m in range(start, stop + 1)]
 
 
-def surrogate_key(*parts: Column) -> Column:
-    """A bigint key that depends on the values of the natural key and nothing else.
+def key_text(*parts: Column) -> Column:
+    """A natural key as one text.
 
-    The first 60 bits of an md5 digest. Each part carries its length, so no two
-    different keys give the same text, and a null differs from every string.
+    Each part carries its length, so no two different keys give the same text, and a null differs from every string.
     """
     texts = [
         F.coalesce(F.concat(F.length(p.cast("string")).cast("string"), F.lit(":"), p.cast("string")), F.lit("~"))
         for p in parts
     ]
-    digest = F.md5(F.concat_ws("|", *texts))
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+    return F.concat_ws("|", *texts)
+
+
+def text_key(text: Column, bits: int = 60) -> Column:
+    """The first bits of the md5 digest of a text, 60 at most, as a bigint."""
+    if not 1 <= bits <= 60:
+        raise ValueError("a key has 1 to 60 bits")
+    whole = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+    return whole if bits == 60 else F.shiftright(whole, 60 - bits)
+
+
+def surrogate_key(*parts: Column) -> Column:
+    """A bigint key of 60 bits that depends on the values of the natural key and nothing else."""
+    return text_key(key_text(*parts))

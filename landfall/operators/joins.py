@@ -1,7 +1,8 @@
 """Equi-joins that stay whole and even when one key holds much of the data.
 
 A dimension is broadcast only after its rows and bytes were counted. Beyond that bound, and for facts,
-the join is shuffled. Where AQE splits skewed partitions the rest is left to it. Where that is off, keys that
+the join is shuffled. Where AQE splits skewed partitions the rest is left to it, but for the right side of a left join, which it
+never splits. There, and on both sides where it is off, keys that
 hold a large share of a side are found first, and their rows are spread over as many tasks as they
 would fill, while the rows of the other side are repeated once per task, within a bound on all copies.
 
@@ -24,7 +25,9 @@ from pyspark.sql.types import (
     BinaryType,
     BooleanType,
     DataType,
+    DecimalType,
     DoubleType,
+    FloatType,
     FractionalType,
     IntegerType,
     IntegralType,
@@ -34,7 +37,9 @@ from pyspark.sql.types import (
     StructType,
 )
 
-LEFT_SALT, RIGHT_SALT, MATCHED = "__left_salt", "__right_salt", "__matched"
+from landfall.functions import key_text
+
+LEFT_SALT, RIGHT_SALT, MATCHED, NAMED = "__left_salt", "__right_salt", "__matched", "__key_name"
 BUCKETS = 4096
 
 
@@ -131,14 +136,21 @@ def _joined(
     if types:
         named = {k: f"__key_{k}" for k in types}
         source = left if keys_from is None else keys_from
-        left = left.withColumns({named[k]: F.col(f"`{k}`").try_cast(t) for k, t in types.items()})
-        right = right.withColumns({named[k]: F.col(f"`{k}`").try_cast(t) for k, t in types.items()}).drop(*types)
-        keys_from = source.withColumns({named[k]: F.col(f"`{k}`").try_cast(t) for k, t in types.items()})
+
+        def read(table: DataFrame) -> DataFrame:
+            return table.withColumns({named[k]: _as(F.col(f"`{k}`"), table.schema[k].dataType, t) for k, t in types.items()})
+
+        left, right, keys_from = read(left), read(right).drop(*types), read(source)
         keys = [named.get(k, k) for k in keys]
     keys = list(keys)
     if small and policy.allows(profile(right, widths=True)):
         return left.join(F.broadcast(right), keys, how).select(*columns)
     if not (spread and policy.spreads(left)):
+        if how == "left" and "right" in spread and policy.spread is None:
+            frequent = frequent_keys(right, keys, policy.share(left))
+            if frequent:
+                named_left, named_right = (t.withColumn(NAMED, _named(t, keys)) for t in (left, right))
+                return _spread_join(named_left, named_right, keys, how, HotKeys((NAMED,)), frequent, policy).select(*columns)
         return left.join(right, keys, how).select(*columns)
     share, none = policy.share(left), HotKeys(tuple(keys))
     hot_left = hot_keys(left if keys_from is None else keys_from, keys, share) if "left" in spread else none
@@ -149,8 +161,10 @@ def _joined(
 def common_types(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> dict[str, DataType]:
     """The one type to compare each key in whose types differ.
 
-    Text is read as the type of the other side, and equals nothing where it cannot be read. Other
-    types meet in what Spark takes both to; types that have nothing in common raise ``ValueError``.
+    Text is read as the type of the other side, and equals nothing where it cannot be read; beside a decimal, as one of 38 digits
+    that has all those of the other side before the point. Whole numbers and floating ones meet as whole numbers, so that no two of them are taken
+    for one; a fraction equals none. Other types meet in what Spark takes both to, a decimal and a floating number
+    as the latter; types that have nothing in common raise ``ValueError``.
     """
     found = {}
     for key in keys:
@@ -164,8 +178,14 @@ def common_types(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> dict
         elif text and isinstance(other, (ArrayType, MapType, StructType, BinaryType)):
             raise ValueError(f"key {key!r} cannot be compared as {a.simpleString()} and {b.simpleString()}")
         elif text:
-            wide = LongType() if isinstance(other, IntegralType) else DoubleType() if isinstance(other, FractionalType) else other
-            found[key] = wide
+            if isinstance(other, DecimalType):
+                found[key] = DecimalType(38, 38 - other.precision + other.scale)
+            elif isinstance(other, IntegralType):
+                found[key] = LongType()
+            else:
+                found[key] = DoubleType() if isinstance(other, FractionalType) else other
+        elif {isinstance(a, IntegralType), isinstance(b, IntegralType)} == {True, False} and isinstance(b if isinstance(a, IntegralType) else a, (DoubleType, FloatType)):
+            found[key] = LongType()
         elif isinstance(a, BooleanType) or isinstance(b, BooleanType):
             raise ValueError(f"key {key!r} cannot be compared as {a.simpleString()} and {b.simpleString()}")
         else:
@@ -177,6 +197,14 @@ def common_types(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> dict
     return found
 
 
+def _as(column: Column, own: DataType, wanted: DataType) -> Column:
+    """A key column as the type to compare it in; null where it has no such value."""
+    read = column.try_cast(wanted)
+    if isinstance(own, (DoubleType, FloatType)) and isinstance(wanted, LongType):
+        return F.when(column == F.floor(column), read)
+    return read
+
+
 def decode(
     facts: DataFrame,
     codes: DataFrame,
@@ -268,6 +296,32 @@ def hot_keys(table: DataFrame, keys: Sequence[str], share: float) -> HotKeys:
     return HotKeys(keys, values, counted.rows, counted.nulls > bar)
 
 
+def _named(table: DataFrame, keys: Sequence[str]) -> Column:
+    """Complete keys as one text, by which equal keys are equal; null for others."""
+    parts = []
+    for key in keys:
+        column, kind = F.col(f"`{key}`"), table.schema[key].dataType
+        # Both zeros are one key.
+        parts.append(column + F.lit(0.0).cast(kind) if isinstance(kind, (DoubleType, FloatType)) else F.hex(column) if isinstance(kind, BinaryType) else column)
+    return F.when(_complete(keys), key_text(*parts))
+
+
+def frequent_keys(table: DataFrame, keys: Sequence[str], share: float) -> HotKeys:
+    """The keys that hold more than ``share`` of the rows, as texts, with estimates of their rows, in one pass.
+
+    Every task summarises its keys in a table of bounded size, which loses count of a key only as far as the other keys crowd it out,
+    and such tables merge. They hold eight times as many keys as can be frequent, so none of these is missed, and none is
+    named that the table does not have.
+    """
+    limit = math.ceil(1 / share)
+    complete = table.select(_named(table, keys).alias(NAMED))
+    found = complete.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.expr(f"approx_top_k({NAMED}, {limit}, {min(1_000_000, 8 * limit)}) filter (where {NAMED} is not null)").alias("top"),
+    ).first()
+    return HotKeys((NAMED,), {(top["item"],): top["count"] for top in found["top"] or () if top["count"] > share * found["rows"]}, found["rows"])
+
+
 def _complete(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
 
@@ -309,13 +363,15 @@ def _spread_join(
     if not (hot_left or hot_right or scattered):
         return left.join(right, keys, how)
     on, partitions, a, b = list(keys), _partitions(left), left, right
+    if NAMED in hot_right.keys:
+        on.append(NAMED)
 
     def dealt(table: DataFrame, hot: HotKeys, found: dict[tuple, int], salt: str) -> DataFrame:
-        marked = table.join(F.broadcast(_small(table, hot, found, "__n")), keys, "left")
+        marked = table.join(F.broadcast(_small(table, hot, found, "__n")), list(hot.keys), "left")
         return marked.withColumn(salt, F.coalesce(_salt(table, F.col("__n")), F.lit(0))).drop("__n")
 
     def repeated(table: DataFrame, hot: HotKeys, found: dict[tuple, int], salt: str) -> DataFrame:
-        marked = table.join(F.broadcast(_small(table, hot, found, "__n")), keys, "left")
+        marked = table.join(F.broadcast(_small(table, hot, found, "__n")), list(hot.keys), "left")
         return marked.withColumn(salt, F.explode(F.sequence(F.lit(0), F.coalesce("__n", F.lit(1)) - 1))).drop("__n")
 
     if hot_left or scattered:
@@ -335,5 +391,5 @@ def _spread_join(
         return a.join(b, on, how)
     # A hot key of the right side has partners, so a repeated left row that met none
     # under its own salt is no result of its own.
-    many = a.join(F.broadcast(_small(left, hot_right, found, "__n")), keys, "left").withColumn("__n", F.coalesce("__n", F.lit(1)))
+    many = a.join(F.broadcast(_small(left, hot_right, found, "__n")), list(hot_right.keys), "left").withColumn("__n", F.coalesce("__n", F.lit(1)))
     return many.join(b.withColumn(MATCHED, F.lit(True)), on, how).filter(F.col(MATCHED).isNotNull() | (F.col("__n") == 1))

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from landfall.operators.joins import DEFAULT, JoinPolicy, attach_lookup
+
 PASS, FAIL = "SUCCESS", "FAIL"
 MONTH = "i94_dt"
 
@@ -84,6 +87,49 @@ def key_report(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     return _stack(reports)
 
 
+@dataclass(frozen=True)
+class Reference:
+    """Columns of a table that should name a row of another one, by its columns of the same or of ``parent_keys`` names."""
+
+    name: str
+    child: DataFrame
+    keys: Sequence[str]
+    parent: DataFrame
+    parent_keys: Sequence[str] | None = None
+
+
+def orphan_report(references: Sequence[Reference], *, policy: JoinPolicy = DEFAULT) -> DataFrame:
+    """For each reference the rows, those with a null in the key, those whose key the parent lacks, such keys, and the status.
+
+    A key becomes one row with its count before it meets the parent, so one that holds much of the table weighs no more than another;
+    the parent's distinct keys are broadcast if their counted size allows, otherwise both are shuffled. A null refers to nothing and is no
+    orphan. Keys of two types are compared as in a join.
+    """
+    reports = []
+    for r in references:
+        keys = [f"k{i}" for i in range(len(r.keys))]
+        own = r.child.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(r.keys, keys)])
+        complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        counted = own.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        there = r.parent.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(r.parent_keys or r.keys, keys)]).distinct()
+        found = attach_lookup(counted, there.withColumn("there", F.lit(True)), keys, "left", policy=policy, spread=())
+        orphan = complete & F.col("there").isNull()
+
+        def total(n: Column) -> Column:
+            return F.coalesce(F.sum(n), F.lit(0)).cast("bigint")
+
+        # Texts that read as the same number are one key of the parent, so a row of the child can be found twice.
+        once = found.groupBy(*keys).agg(F.first("n").alias("n"), F.first("there").alias("there"))
+        counts = once.agg(
+            total(F.col("n")).alias("n_rows"),
+            total(F.when(~complete, F.col("n"))).alias("n_null"),
+            total(F.when(orphan, F.col("n"))).alias("n_orphans"),
+            F.count_if(orphan).alias("n_orphan_keys"),
+        )
+        reports.append(counts.select(F.lit(r.name).alias("reference"), "*", _status(F.col("n_orphans") == 0).alias("status")))
+    return _stack(reports)
+
+
 def differing_report(table: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """For each value column, how many keys there are and on how many of them the rows disagree.
 

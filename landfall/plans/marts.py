@@ -39,9 +39,8 @@ def airport_weather(
     )
     labelled = decode(sited, states, "state_code", policy=policy)
     weather = temperatures.select("city_id", "avg_temp", "std_temp")
-    return join_facts(labelled, weather, ["city_id"], "inner", policy=policy, keys_from=airports).select(
-        "name", "elevation_ft", "city", *_labels(states), "avg_temp", "std_temp"
-    )
+    placed = attach_lookup(labelled, weather, ["city_id"], "inner", policy=policy, spread=("left", "right"), keys_from=airports)
+    return placed.select("name", "elevation_ft", "city", *_labels(states), "avg_temp", "std_temp")
 
 
 def state_profile(

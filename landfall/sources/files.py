@@ -1,11 +1,65 @@
-"""Removal of folders, through the file system that Spark would use for them."""
+"""Folders and small files, through the file system that Spark would use for them."""
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.java_gateway import JavaObject
 from pyspark.sql import SparkSession
 
 
+def _target(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    """The path and its file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder; nothing happens if it is not there."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    target, system = _target(spark, path)
+    system.delete(target, True)
+
+
+def make(spark: SparkSession, path: str) -> None:
+    """Make a folder and those above it, where they are not there yet."""
+    target, system = _target(spark, path)
+    system.mkdirs(target)
+
+
+def listed(spark: SparkSession, path: str) -> dict[str, int]:
+    """What lies in a folder, by name, with the time of its last change in seconds; nothing if the folder is not there."""
+    target, system = _target(spark, path)
+    if not system.exists(target):
+        return {}
+    return {s.getPath().getName(): s.getModificationTime() // 1000 for s in system.listStatus(target)}
+
+
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether any file or folder has a path of this pattern."""
+    target, system = _target(spark, pattern)
+    return bool(system.globStatus(target))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
+    target, system = _target(spark, path)
+    stream = system.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a small file whole by a rename. Whether it was put: not if there is one of that name already."""
+    target, system = _target(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    stream = system.create(draft, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not system.exists(target) and system.rename(draft, target):
+        return True
+    system.delete(draft, False)
+    return False

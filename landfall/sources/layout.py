@@ -36,6 +36,7 @@ class LakeLayout:
     immigrant: str = "immigrant"
     immigration: str = "immigration"
     immigration_demographic: str = "immigration_demographic"
+    city_key: str = "keys/city"
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{getattr(self, table)}"

@@ -1,4 +1,7 @@
-"""Parquet lake tables: scans and repeatable writes."""
+"""Parquet lake tables: scans and repeatable writes.
+
+A table that a snapshot of its lake has is read from there, and written by a commit of its own. Any other is the folder of its path.
+"""
 
 from __future__ import annotations
 
@@ -8,23 +11,33 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-MONTH = "i94_dt"
+from landfall.sources.snapshots import MONTH, Transaction, found
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """A lake table. With ``schema`` it may also be one that no month has filled yet."""
+    held = found(spark, path)
+    if held is not None:
+        return held[0].read(spark, held[1])
     return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
 
 
 def read_months(spark: SparkSession, path: str, months: str | Sequence[str]) -> DataFrame:
     """The rows of some months; other partitions are not opened."""
     keys = [months] if isinstance(months, str) else list(months)
-    table = spark.read.parquet(path)
+    held = found(spark, path)
+    table = spark.read.parquet(path) if held is None else held[0].read(spark, held[1], keys)
     return table.filter(F.col(MONTH) == keys[0] if len(keys) == 1 else F.col(MONTH).isin(keys))
 
 
 def write_table(table: DataFrame, path: str) -> None:
     """Replace the whole table."""
+    held = found(table.sparkSession, path)
+    if held is not None:
+        with Transaction(table.sparkSession, held[0].root) as run:
+            run.write_table(held[1], table)
+            run.commit()
+        return
     table.write.mode("overwrite").parquet(path)
 
 
@@ -42,6 +55,14 @@ def write_months(
     """
     if mode not in ("replace", "append"):
         raise ValueError(f"unknown mode {mode!r}")
+    held = found(table.sparkSession, path)
+    if held is not None:
+        if mode == "append":
+            raise ValueError(f"{path} is published by snapshots, which replace months and append to none")
+        with Transaction(table.sparkSession, held[0].root) as run:
+            run.write_months(held[1], table, rebalance=rebalance)
+            run.commit()
+            return run.filled(held[1]) if watch else None
     out = table.hint("rebalance", MONTH) if rebalance else table
     if watch:
         seen = Observation()

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
 
@@ -568,3 +568,170 @@ def mixed_key_types(star: Star) -> DataFrame:
     texts = star.supplier.select("s_suppkey", F.lpad(F.col("s_nationkey").cast("string"), 3, "0").alias("nation"))
     policy = O.JoinPolicy(broadcast_rows=0, hot_share=0.02, spread=True)
     return O.attach_lookup(numbered, texts, ["nation"], policy=policy, spread=("left", "right"))
+
+
+# Snapshots, feeds of several files, kept keys, places and references
+
+
+@query
+def interrupted_publish(star: Star) -> DataFrame:
+    """All months, then one again from half of its arrivals: once stopped between two tables, once whole.
+
+    Rows per table and month after each of the three runs.
+    """
+    raw, lake, months = _monthly_lake(star)
+    half = S.RawLayout(scratch_path(star.spark, "raw"))
+    arrived = S.read_months(star.spark, f"{raw.root}/arrivals", MONTH).filter(F.col("cicid") % 2 == 0)
+    S.write_table(arrived.drop("i94_dt"), half.path("arrivals").format(month=MONTH))
+
+    def stop(table: str) -> None:
+        if table == "immigration":
+            raise InterruptedError(table)
+
+    def counts(stage: str) -> DataFrame:
+        tables = {t: S.read_table(star.spark, lake.path(t)) for t in S.layout.MONTHLY}
+        return O.collected(O.month_report(tables, months)).select(F.lit(stage).alias("stage"), "table", "i94_dt", "n_rows")
+
+    P.run_months(star.spark, raw, lake, months, gate=False)
+    stages = [counts("before")]
+    try:
+        P.run_month(star.spark, half, lake, MONTH, gate=False, progress=stop)
+    except InterruptedError:
+        stages.append(counts("interrupted"))
+    P.run_month(star.spark, half, lake, MONTH, gate=False)
+    stages.append(counts("again"))
+    return reduce(lambda a, b: a.unionByName(b), stages)
+
+
+@query
+def backfill_restart(star: Star) -> DataFrame:
+    """A backfill, the same again, one after the feed of a month changed, and one after a table to look up changed.
+
+    The months that each of them ran, with the rows of their facts.
+    """
+    raw, lake, months = _monthly_lake(star)
+    feed = f"{raw.root}/arrivals"
+
+    def run(stage: str) -> DataFrame:
+        reports = P.backfill(star.spark, raw, lake, months, together=len(months), skip_unchanged=True, gate=False)
+        shape = "table string, i94_dt string, n_cols int, n_rows bigint, status string"
+        ran = reports[0] if reports else star.spark.createDataFrame([], shape)
+        return ran.filter("table = 'immigrant'").select(F.lit(stage).alias("stage"), "i94_dt", "n_rows")
+
+    stages = [run("first"), run("again")]
+    once = S.read_months(star.spark, feed, MONTH).filter(F.col("cicid") % 2 == 0)
+    path = scratch_path(star.spark, "half")
+    S.write_table(once, path)
+    S.write_months(S.read_table(star.spark, path), feed)
+    stages.append(run("one feed changed"))
+    S.write_table(standins.states(star).filter(F.col("code") != "FRANCE"), lake.path("state_code"))
+    stages.append(run("a lookup changed"))
+    return reduce(lambda a, b: a.unionByName(b), stages)
+
+
+@query
+def csv_headers(star: Star) -> DataFrame:
+    """A feed of several files whose headers have the columns in three orders, one of them with a column more."""
+    path = scratch_path(star.spark, "customer")
+    columns = star.customer.columns
+    for part in range(3):
+        own = star.customer.filter(F.col("c_custkey") % 3 == part).select(*columns[part:], *columns[:part])
+        own = own.withColumn("c_note", F.lit("late")) if part == 2 else own
+        own.write.mode("append").option("header", True).csv(path)
+    return read_csv(star.spark, path, star.customer.schema)
+
+
+def _latitude(cents: Column) -> Column:
+    """A number that grows with an amount and runs through 180 degrees, in tenths."""
+    turned = cents - 180 * F.floor(cents / 180) - 90
+    return F.floor(turned * 10) / 10
+
+
+def _longitude(cents: Column) -> Column:
+    turned = cents * 7 - 360 * F.floor(cents * 7 / 360) - 180
+    return F.floor(turned * 10) / 10
+
+
+def _marked(degrees: Column, positive: str, negative: str) -> Column:
+    return F.concat(F.abs(degrees).cast("string"), F.when(degrees >= 0, positive).otherwise(negative))
+
+
+@query
+def city_temperatures_by_position(star: Star) -> DataFrame:
+    """Each measurement with the city of its name whose airport is the nearest in reach, or the only one of the name."""
+    city = _city(star)
+    sited = standins.airports(star).withColumn("amount", F.col("elevation_ft").cast("double"))
+    pair = F.concat(_latitude(F.col("amount")).cast("string"), F.lit(", "), _longitude(F.col("amount")).cast("string"))
+    airports = P.airport_dim(sited.withColumn("coordinates", pair).drop("amount"), city)
+    amount = F.col("AverageTemperatureUncertainty")
+    raw = standins.temperatures(star).withColumns(
+        {"Latitude": _marked(_latitude(amount), "N", "S"), "Longitude": _marked(_longitude(amount), "E", "W")}
+    )
+    stored = _stored(star, "airports", airports)
+    return P.city_temperatures(raw, city, after=AFTER, country=COUNTRY, airports=stored, reach=25.0, coordinates=True, flag_ambiguous=True)
+
+
+@query
+def city_temperatures_latest(star: Star) -> DataFrame:
+    """The last measurement of each city of the feed, for every state that has the name."""
+    return P.city_temperatures(standins.temperatures(star), _city(star), after=None, country=COUNTRY, latest=True)
+
+
+@query
+def key_collisions(star: Star) -> DataFrame:
+    """Keys of so few bits that hashes meet: of some pairs, then of all, and all anew from other partitions.
+
+    Per segment the pairs, their keys, how many keys are out of range or changed when pairs came, or by the partitions.
+    """
+    columns, bits = ["c_mktsegment", "c_nationkey"], 9
+    pairs = star.customer.select(*columns).dropDuplicates()
+    some = _stored(star, "some-keys", O.key_map(pairs.filter("c_nationkey < 13"), columns, key="pair_id", bits=bits))
+    every = _stored(star, "every-key", O.key_map(pairs, columns, some, key="pair_id", bits=bits))
+    again = _stored(star, "again", O.key_map(pairs.repartition(7), columns, some.repartition(5), key="pair_id", bits=bits))
+    before, other = some.withColumnRenamed("pair_id", "before"), again.withColumnRenamed("pair_id", "other")
+    met = every.join(before, columns, "left").join(other, columns, "left")
+    return met.groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("n_pairs"),
+        F.countDistinct("pair_id").alias("n_keys"),
+        F.count_if((F.col("pair_id") < 0) | (F.col("pair_id") >= 1 << bits)).alias("n_outside"),
+        F.count_if(F.col("before") != F.col("pair_id")).alias("n_moved"),
+        F.count_if(~F.col("other").eqNullSafe(F.col("pair_id"))).alias("n_differing"),
+    )
+
+
+@query
+def orphan_report(star: Star) -> DataFrame:
+    """The references of all tables of the lake; solvent customers are the listed countries, and one nation is not listed."""
+    raw, city = standins.arrivals(star), _city(star)
+    person, trip = P.immigrant(raw, F.col("i94_dt")), P.immigration(raw, F.col("i94_dt"))
+    airports, temperatures = _stored(star, "airports", P.airport_dim(standins.airports(star), city)), _stored(star, "temperatures", _temperatures(star, city))
+    states = standins.states(star).filter(F.col("code") != "FRANCE")
+    tables = {
+        "city": city,
+        "state_code": states,
+        "country_code": standins.countries(star).join(star.customer.filter("c_acctbal >= 0").select(F.col("c_custkey").cast("int").alias("code")), "code"),
+        "airport_code": airports,
+        "us_cities_demographics": _demographics(star, city),
+        "us_cities_temperatures": temperatures,
+        "us_airports_weather": P.airport_weather(airports, city, states, temperatures),
+        "immigrant": person.filter(F.col("cicid") % 5 != 0),
+        "immigration": trip,
+        "immigration_demographic": _stored(star, "mart", _mart(star)),
+    }
+    return O.orphan_report(P.lake_references(tables))
+
+
+@query
+def hot_right_side(star: Star) -> DataFrame:
+    """Customers with their orders, a third of which are of one of them, by a join that spreads that one's orders."""
+    buyer = F.when(F.col("o_orderkey") % 3 == 0, 1).otherwise(F.col("o_custkey")).cast("bigint").alias("c_custkey")
+    return O.join_facts(star.customer.select("c_custkey", "c_name"), star.orders.select(buyer, "o_orderkey"), ["c_custkey"], "left")
+
+
+@query
+def exact_key_types(star: Star) -> DataFrame:
+    """Customers by a number of 20 digits, as text of one and as decimal of the next, which only some share."""
+    far = F.lit("12345678901234567000").cast("decimal(22,2)")
+    texts = star.customer.select("c_custkey", (far + F.col("c_custkey")).cast("decimal(20,0)").cast("string").alias("number"))
+    numbers = star.customer.filter(F.col("c_nationkey") < 13).select((far + F.col("c_custkey") + 1).cast("decimal(22,2)").alias("number"), F.col("c_custkey").alias("before"))
+    return O.attach_lookup(texts, numbers, ["number"], spread=("left", "right"))

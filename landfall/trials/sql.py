@@ -13,6 +13,12 @@ def key(*parts: str) -> str:
     return f"cast('0x' || substr(md5({texts}), 1, 15) as bigint)"
 
 
+def degrees(amount: str, times: int, half: int) -> str:
+    """A number that grows with an amount and runs through the degrees, in tenths."""
+    turned = f"({amount} * {times}::double - {2 * half} * floor({amount} * {times}::double / {2 * half}) - {half})"
+    return f"floor({turned} * 10) / 10"
+
+
 MONTH_OF = "lower(strftime(o_orderdate, '%b%y'))"
 DIGITS = "strftime(o_orderdate, '%m%d%Y')"
 DAYS = "date_diff('day', date '1960-01-01', cast(o_orderdate as date))"
@@ -293,4 +299,81 @@ SQL = {
     "mixed_key_types": """
         select case when c_custkey % 3 = 0 then 3 else c_nationkey end as nation, c_custkey, s_suppkey
         from customer left join supplier on case when c_custkey % 3 = 0 then 3 else c_nationkey end = s_nationkey""",
+    "interrupted_publish": _with(
+        f"""{MONTHLY}, fewer as (
+            select "table", count(*) as n_rows from (
+                select 'immigrant' as "table", cicid, i94_dt from persons union all select 'immigration', cicid, i94_dt from trips
+                union all select 'immigration_demographic', cicid, i94_dt from mart)
+            where i94_dt = '{MONTH}' and cicid % 2 = 0 group by all
+        )
+        select stage, "table", i94_dt, n_rows from per_month, (values ('before'), ('interrupted')) s(stage)
+        union all select 'again', p."table", i94_dt, case when i94_dt = '{MONTH}' then coalesce(f.n_rows, 0) else p.n_rows end
+        from per_month p left join fewer f using ("table")"""
+    ),
+    "backfill_restart": _with(
+        f"""select 'first' as stage, i94_dt, count(*) as n_rows from persons group by all
+        union all select 'one feed changed', i94_dt, count(*) from persons where i94_dt = '{MONTH}' and cicid % 2 = 0 group by all
+        union all select 'a lookup changed', i94_dt, count(*) from persons where i94_dt <> '{MONTH}' or cicid % 2 = 0 group by all"""
+    ),
+    "csv_headers": "select *, case when c_custkey % 3 = 2 then 'late' end as c_note from customer",
+    "city_temperatures_by_position": _with(
+        f""", cities as (select *, count(*) over (partition by city) as n_states from city),
+        sites as (
+            select c.city, c.city_id, {degrees('elevation_ft', 1, 90)} as latitude, {degrees('elevation_ft', 7, 180)} as longitude
+            from airports a join city c on a.city = c.city and a.state_code = c.state_code where iso_country = 'US'
+        ),
+        points as (
+            select dt, city, avg_temp, std_temp, {degrees('std_temp', 1, 90)} as latitude, {degrees('std_temp', 7, 180)} as longitude
+            from measured where dt > date '{AFTER}' and country = '{COUNTRY}' and avg_temp is not null
+        ),
+        apart as (
+            select p.dt, p.city, s.city_id, abs(p.latitude - s.latitude) as north,
+                abs(p.longitude - s.longitude - 360 * floor((p.longitude - s.longitude + 180) / 360)) as east, p.latitude
+            from points p join sites s on p.city = s.city
+        ),
+        nearest as (
+            select dt, city, arg_min(city_id, row(north * north + pow(cos(radians(latitude)) * east, 2), city_id)) as city_id
+            from apart where north <= 25 and east <= 25 group by dt, city
+        ),
+        single as (select city, max(city_id) as city_id, max(n_states) as n_states from cities group by city)
+        select avg_temp, std_temp, latitude, longitude, coalesce(n.city_id, case when n_states = 1 then s.city_id end) as city_id,
+            coalesce(n.city_id is null and n_states > 1, false) as ambiguous
+        from points p left join nearest n on p.dt = n.dt and p.city = n.city left join single s on p.city = s.city"""
+    ),
+    "city_temperatures_latest": _with(
+        f"""select avg_temp, std_temp, city_id from (
+            select * from measured where country = '{COUNTRY}' and avg_temp is not null
+            qualify row_number() over (partition by city order by dt desc, avg_temp desc, std_temp desc) = 1
+        ) m left join city c on m.city = c.city"""
+    ),
+    "key_collisions": """
+        select c_mktsegment, count(*) as n_pairs, count(*) as n_keys, 0::bigint as n_outside, 0::bigint as n_moved, 0::bigint as n_differing
+        from (select distinct c_mktsegment, c_nationkey from customer) group by all""",
+    "orphan_report": _with(
+        """, links as (
+            select 'city.state_code in state_code' as reference, state_code as key, state_code in (select n_name from nation where n_name <> 'FRANCE') as there from city
+            union all select 'airport_code.city_id in city', cast(c.city_id as varchar), true
+                from airports a left join city c on a.city = c.city and a.state_code = c.state_code where iso_country = 'US'
+            union all select 'us_cities_demographics.city_id in city', cast(city_id as varchar), true from demographic_rows
+            union all select 'us_cities_temperatures.city_id in city', cast(city_id as varchar), true from placed
+            union all select 'us_airports_weather.city in city', city, true from weather
+            union all select 'immigrant.from_country_code in country_code', cast(from_country_code as varchar),
+                from_country_code in (select c_custkey from customer where c_acctbal >= 0) from persons where cicid % 5 <> 0
+            union all select 'immigration.state_code in state_code', state_code, state_code in (select n_name from nation where n_name <> 'FRANCE') from trips
+            union all select 'immigration.cicid+i94_dt in immigrant', cicid || i94_dt, cicid % 5 <> 0 from trips
+            union all select 'immigration_demographic.cicid+i94_dt in immigrant', cicid || i94_dt, cicid % 5 <> 0 from mart
+        ),
+        counted as (
+            select reference, count(*) as n_rows, count(*) filter (key is null) as n_null, count(*) filter (key is not null and not there) as n_orphans,
+                count(distinct key) filter (key is not null and not there) as n_orphan_keys
+            from links group by reference
+        )
+        select *, case when n_orphans = 0 then 'SUCCESS' else 'FAIL' end as status from counted"""
+    ),
+    "hot_right_side": """
+        select c_custkey, c_name, o_orderkey from customer
+        left join orders on c_custkey = case when o_orderkey % 3 = 0 then 1 else o_custkey end""",
+    "exact_key_types": """
+        select cast(cast(12345678901234567000 as hugeint) + a.c_custkey as varchar) as number, a.c_custkey, b.c_custkey as before
+        from customer a left join (select * from customer where c_nationkey < 13) b on a.c_custkey = b.c_custkey + 1""",
 }

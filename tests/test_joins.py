@@ -1,11 +1,13 @@
 """All join paths must give the rows of a plain join."""
 
+import uuid
+
 import pytest
 from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from landfall.operators import JoinPolicy, attach_lookup, decode, join_facts
-from landfall.operators.joins import LEFT_SALT, RIGHT_SALT, HotKeys, hot_keys, profile, salts
+from landfall.operators.joins import LEFT_SALT, RIGHT_SALT, HotKeys, frequent_keys, hot_keys, profile, salts
 
 SHUFFLED = JoinPolicy(broadcast_rows=0, hot_share=0.05, spread=True, copies=1e9)
 
@@ -142,6 +144,10 @@ PAIRS = [
     ("int", "bigint", [7, 8, None], [7, 9, None]),
     ("float", "double", [0.5, 2.0, None], [0.5, 3.0, None]),
     ("date", "timestamp", ["2016-01-01", None], ["2016-01-01 00:00:00", "2016-01-01 01:00:00"]),
+    ("string", "decimal(20,3)", ["07", "7.000", "7.0001", "x", None], [7, 8, None]),
+    ("bigint", "double", [7, 9007199254740993, None], [7.0, 9007199254740992.0, 7.5, None]),
+    ("int", "float", [7, 16777217, None], [7.0, 16777216.0, None]),
+    ("bigint", "decimal(20,1)", [7, 9007199254740993, None], [7.0, "9007199254740992.5", None]),
     ("string", "date", ["2016-01-01", "x"], ["2016-01-01", "2016-01-02"]),
 ]
 
@@ -187,11 +193,77 @@ def test_copied_rows_of_a_join_are_bounded(spark):
     assert got.count() == 1_000_000 == left.join(right, "k").count()
 
 
+def jobs_of(spark, build):
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, "passes before a join")
+    try:
+        table = build()
+        return table, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_skew_is_left_to_adaptive_execution(spark):
     left, right = sides(spark, True, True)
-    jobs = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("joins", "no pass before the join")
-    got = join_facts(left, right, ["k", "s"])
-    assert list(jobs.getJobIdsForGroup("joins")) == []
-    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-    assert rows(got) == rows(left.join(right, ["k", "s"], "left"))
+    got, jobs = jobs_of(spark, lambda: join_facts(left, right, ["k", "s"], "inner"))
+    assert jobs == 0
+    assert rows(got) == rows(left.join(right, ["k", "s"]))
+    assert jobs_of(spark, lambda: join_facts(left, right, ["k", "s"], "left", unique=True))[1] == 0
+
+
+def hot_right(spark):
+    """A right side with a third of its rows on one key and a tenth on another one; the left side has few rows of these."""
+    n = F.col("id")
+    key = F.when(n % 3 == 0, F.lit(-1)).when(n % 10 == 1, F.lit(-2)).when(n % 101 == 1, None).otherwise(n % 4000)
+    right = spark.range(60_000).select(key.cast("string").alias("k"), n.cast("double").alias("r"))
+    left = spark.range(5000).select(F.when(n < 1, F.lit(-1)).when(n < 3, F.lit(-2)).when(n < 40, None).otherwise(n + 1000).cast("string").alias("k"), n.alias("l"))
+    return left, right
+
+
+def test_hot_right_keys_of_a_left_join_are_spread_with_adaptive_execution_on(spark):
+    left, right = hot_right(spark)
+    names = ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.autoBroadcastJoinThreshold")
+    kept = {name: spark.conf.get(name) for name in names}
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+    spark.conf.set(names[0], "false")
+    spark.conf.set(names[1], "-1")
+
+    def tasks(table):
+        return sorted(r["count"] for r in table.groupBy(F.spark_partition_id().alias("p")).count().collect())
+
+    try:
+        plain = left.join(right, ["k"], "left")
+        got = join_facts(left, right, ["k"], "left")
+        assert RIGHT_SALT in plan(got) and RIGHT_SALT not in plan(plain)
+        assert rows(got) == rows(plain)
+        even, uneven = tasks(got), tasks(plain)
+        assert even[-1] <= 3 * even[len(even) // 2] < uneven[-1]
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("kind", ["string", "double", "binary", "decimal(20,2)", "timestamp"])
+def test_frequent_keys_are_found_in_one_pass(spark, kind):
+    values = ["1", "-0.0", "2"] if kind == "double" else ["1", "1.50", "2"] if kind.startswith("decimal") else ["2020-01-01 00:00:01.5", "2020-01-01 00:00:01", "2020"] if kind == "timestamp" else ["a|b", "", "c"]
+    hot = spark.range(5000).select(F.when(F.col("id") % 2 == 0, F.lit(values[0])).when(F.col("id") % 5 == 0, F.lit(values[1])).when(F.col("id") % 7 == 0, None).otherwise(F.col("id").cast("string")).cast("string").alias("t"))
+    table = hot.select(F.col("t").try_cast(kind).alias("k"), F.lit(1).alias("s"))
+    found, jobs = jobs_of(spark, lambda: frequent_keys(table, ["k", "s"], 0.05))
+    assert jobs <= 2 and found.rows == 5000
+    assert len(found.values) == 2
+    assert sorted(found.values.values(), reverse=True) == pytest.approx([2500, 500], rel=0.02)
+    assert frequent_keys(table.limit(0), ["k"], 0.05).values == {}
+
+
+def test_whole_numbers_and_decimals_are_compared_exactly(spark):
+    big = 9007199254740993
+    left = spark.createDataFrame([(big,), (5,), (None,)], "k bigint")
+    right = spark.createDataFrame([(9007199254740992.0, "near"), (5.0, "five"), (5.5, "more"), (float("nan"), "nan"), (1e300, "far")], "k double, r string")
+    assert rows(attach_lookup(left, right, ["k"])) == {(big, None): 1, (5, "five"): 1, (None, None): 1}
+    text = spark.createDataFrame([("12345678901234567891",), ("1.50",), ("007",), ("x",), ("123456789012345678901234567890123456789",)], "k string")
+    exact = spark.sql("select cast(k as decimal(22,2)) as k, r from values ('12345678901234567892', 'next'), ('1.5', 'half'), ('7', 'seven') t(k, r)")
+    for policy in (JoinPolicy(), SHUFFLED):
+        assert {(r["k"], r["r"]) for r in attach_lookup(text, exact, ["k"], policy=policy).collect()} == {
+            ("12345678901234567891", None), ("1.50", "half"), ("007", "seven"), ("x", None), ("123456789012345678901234567890123456789", None)
+        }
+        assert {r["k"] for r in attach_lookup(exact, text.withColumn("there", F.lit(1)), ["k"], "inner", policy=policy).select(F.col("r").alias("k")).collect()} == {"half", "seven"}
