@@ -6,7 +6,9 @@ SQL: dict[str, str] = {}
 
 SQL["op3_mix_sources"] = r"""
 with sizes as (
-    select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size from documents
+    select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size, md5(coalesce(text, '')) as mark,
+        row_number() over (partition by doc_id, source, md5(coalesce(text, ''))) as number
+    from documents
 ),
 sources as (select source, sum(size)::bigint as source_size from sizes group by source),
 weighed as (
@@ -33,7 +35,7 @@ goals as (
 rates as (
     select s.doc_id, s.size, g.source_size, g.target,
         case when g.source_size > 0 then g.target / g.source_size else 0.0 end as rate,
-        ('0x' || substr(md5(coalesce(s.doc_id::varchar, 'null') || ':7'), 1, 13))::bigint / 4503599627370496.0::double as draw
+        ('0x' || substr(md5(coalesce(s.doc_id::varchar, 'null') || ':' || s.mark || ':' || s.number || ':7'), 1, 13))::bigint / 4503599627370496.0::double as draw
     from sizes s join goals g on s.source is not distinct from g.source
 )
 select doc_id, size, source_size, target,

@@ -53,6 +53,37 @@ def test_sources_come_near_their_targets(spark):
         assert r["taken"] == pytest.approx(r["target"], rel=0.08)
 
 
+@pytest.mark.parametrize("salted", [False, True])
+def test_sources_come_near_their_targets_where_ids_are_null_or_repeat(spark, monkeypatch, salted):
+    if salted:
+        monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    number = F.col("id")
+    docs = spark.range(6000, numPartitions=5).select(
+        F.when(number % 3 == 0, number).when(number % 3 == 1, 7).alias("doc_id"),
+        F.when(number % 2 == 0, F.repeat(F.lit("w "), (number % 13 + 1).cast("int"))).otherwise("the same text of seven words again").alias("text"),
+        F.concat(F.lit("s"), (number % 4).cast("string")).alias("source"),
+    )
+    for r in mixing.copies(docs).groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"), F.first("target").alias("target")).collect():
+        assert r["taken"] == pytest.approx(r["target"], rel=0.08)
+    key = ["doc_id", "source", "text"]
+    first = Counter(map(tuple, mixing.mixed(docs).select(*key).collect()))
+    assert first == Counter(map(tuple, mixing.mixed(docs.repartition(11)).select(*key).collect()))
+    sizes = Counter()
+    for (_, source, text), n in first.items():
+        sizes[source] += n * len(words(text))
+    taken = {r["source"]: r["n"] for r in mixing.copies(docs).groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("n")).collect()}
+    assert sizes == Counter(taken)
+
+
+def test_alike_rows_are_numbered_from_one(spark):
+    rows = spark.createDataFrame([(None, "a")] * 300 + [(1, "a")] * 2 + [(2, None), (3, "b")], "i int, t string").repartition(4)
+    got = mixing.numbered(rows, ["i", "t"], "number").collect()
+    found = {}
+    for r in got:
+        found.setdefault((r["i"], r["t"]), []).append(r["number"])
+    assert {k: sorted(v) for k, v in found.items()} == {(None, "a"): list(range(1, 301)), (1, "a"): [1, 2], (2, None): [1], (3, "b"): [1]}
+
+
 def test_repeated_documents_follow_the_copies(spark, monkeypatch):
     docs = table(spark)
     want = {}
