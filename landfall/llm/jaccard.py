@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from landfall.llm.common import BROADCAST_ROWS, stored
+from landfall.llm.common import BROADCAST_ROWS, WHITE, attach, quoted, stored
 from landfall.llm.components import components
 from landfall.llm.words import mix, slices, words_of
 
@@ -94,11 +94,11 @@ def _lists(values: list[np.ndarray], kind=None) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64()))
 
 
-PRINTS = "doc_id bigint, n bigint, node bigint, prefix array<bigint>"
+PRINTS = "doc_id bigint, mark bigint, n bigint, node bigint, prefix array<bigint>"
 
 
 def prints(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Per document the number of its shingles, the hash of its set (null if empty) and the first shingles of it."""
+    """Per document a hash of its text, the number of its shingles, the hash of its set (null if empty) and the first shingles of it."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,14 +108,15 @@ def prints(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
                 yield pa.record_batch(
                     [
                         batch.column(0).slice(low, high - low),
+                        batch.column(2).slice(low, high - low),
                         pa.array([len(x) for x in found], pa.int64()),
                         pa.array([_node(x) if len(x) else None for x in found], pa.int64()),
                         _lists([x[: prefix_length(len(x), percent)] for x in found]),
                     ],
-                    names=["doc_id", "n", "node", "prefix"],
+                    names=["doc_id", "mark", "n", "node", "prefix"],
                 )
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(work, PRINTS)
+    return docs.select(F.col("doc_id").cast("bigint"), "text", F.xxhash64("text").alias("mark")).mapInArrow(work, PRINTS)
 
 
 def shared(sets: DataFrame) -> DataFrame:
@@ -185,9 +186,18 @@ def linkable(docs: DataFrame, nodes: DataFrame, printed: DataFrame, size: int, p
     early = shared(printed.filter("n > 0").select("node", F.col("prefix").alias("tokens"))).groupBy("node").agg(F.count(F.lit(1)).alias("held"))
     # A partner may be smaller by the threshold, and so may its own prefix.
     least = 1 + F.floor(least_overlap(F.col("n"), percent) / 10)
-    wanted = stored(nodes.join(early, "node").filter(F.col("held") >= least).select("node", "n", F.col("rep").alias("doc_id")), "early")
-    few = wanted.count() <= BROADCAST_ROWS
-    chosen = docs.select(F.col("doc_id").cast("bigint"), "text").join(F.broadcast(wanted) if few else wanted, "doc_id")
+    wanted = stored(nodes.join(early, "node").filter(F.col("held") >= least).select("node", "n", F.col("rep").alias("doc_id"), "mark"), "early")
+    counted = wanted.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("doc_id").isNull()).alias("unnamed")).first()
+    few = counted["n"] <= BROADCAST_ROWS
+    chosen = docs.select(F.col("doc_id").cast("bigint"), "text").join(F.broadcast(wanted) if few else wanted, "doc_id").select("text", "node")
+    if counted["unnamed"]:
+        # No row of these nodes has an id, so one text of each is found by its hash; copies are taken together first.
+        marked = docs.filter(F.col("doc_id").isNull()).select(F.xxhash64("text").alias("mark"), "text")
+        sought = wanted.filter(F.col("doc_id").isNull()).select("mark", "node")
+        if few:
+            marked = marked.join(F.broadcast(sought.select("mark")), "mark", "left_semi")
+        once = marked.groupBy("mark").agg(F.first("text").alias("text"))
+        chosen = chosen.unionByName(once.join(F.broadcast(sought) if few else sought, "mark").select("text", "node"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,8 +218,7 @@ def linkable(docs: DataFrame, nodes: DataFrame, printed: DataFrame, size: int, p
                 )
 
     # Rows that repeat an id can bring a set twice.
-    return chosen.select("text", "node").mapInArrow(whole, "node bigint, n bigint, tokens array<bigint>").dropDuplicates(["node"])
-
+    return chosen.mapInArrow(whole, "node bigint, n bigint, tokens array<bigint>").dropDuplicates(["node"])
 
 
 def filtered(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -403,6 +412,20 @@ def links(sets: DataFrame, block: DataFrame, percent: int = PERCENT, spanning: b
     return units.select(task, "node", "tokens", "block", "x", "y", "second").groupBy("task").applyInArrow(search, "a bigint, b bigint")
 
 
+def _grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``row`` (a number), ``doc_id``, ``mark``, ``n``, ``node``, ``component`` (a node that stands for it) and ``least``, its smallest id, of every row."""
+    printed = stored(prints(docs, size, percent).withColumn("row", F.monotonically_increasing_id()), "prints")
+    seen = printed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.min("mark").alias("mark"))
+    nodes = stored(seen, "nodes")
+    sets = stored(linkable(docs, nodes, printed, size, percent), "sets")
+    sets, tokens = filtered(sets, percent)
+    found = components(links(sets, blocks(tokens, percent), percent))
+    whole = found.join(nodes.select("node", "rep"), "node")
+    least = whole.join(whole.groupBy("component").agg(F.min("rep").alias("least")), "component").select("node", "component", "least")
+    named = nodes.join(least, "node", "left").select("node", F.coalesce("component", "node").alias("component"), F.coalesce("least", "rep").alias("least"))
+    return attach(printed.drop("prefix"), stored(named, "named"), ["node"], "row")
+
+
 def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per document ``doc_id``, ``n_shingles``, ``node`` (the hash of its set) and ``component_id``.
 
@@ -413,14 +436,23 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     no row of its component has an id; then that is null. Rows that repeat an id keep their number
     and their sets. An empty table gives no rows. Only ``doc_id`` and ``text`` are looked at.
     """
-    printed = stored(prints(docs, size, percent), "prints")
-    nodes = stored(printed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "nodes")
-    sets = stored(linkable(docs, nodes, printed, size, percent), "sets")
-    sets, tokens = filtered(sets, percent)
-    found = components(links(sets, blocks(tokens, percent), percent))
-    whole = found.join(nodes.select("node", "rep"), "node")
-    least = whole.join(whole.groupBy("component").agg(F.min("rep").alias("least")), "component").select("node", "least")
-    named = nodes.join(least, "node", "left").select("node", F.coalesce("least", "rep").alias("component_id"))
-    return printed.select("doc_id", F.col("n").alias("n_shingles"), "node").join(named, "node", "left").select(
-        "doc_id", "n_shingles", "node", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
-    )
+    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")
+    return _grouped(docs, size, percent).select("doc_id", F.col("n").alias("n_shingles"), "node", component)
+
+
+def survivors(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One row of each group of near duplicates, with all columns: that with the smallest id, then the smallest hash of its text.
+
+    A row without an id stays only if no row of its group has one. Of rows that are alike in id and text the first in the order of the other
+    columns stays. Rows that repeat an id with different texts are documents of their own. Null and empty texts, and those without a word, are like
+    nothing and all stay.
+    """
+    rows = _grouped(docs.select("doc_id", "text"), size, percent).filter("node is not null")
+    first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")).alias("first"))
+    chosen = stored(first.select(F.col("first.doc_id").alias("__id"), F.col("first.mark").alias("__mark")).distinct(), "survivors")
+    marked = docs.withColumn("__own", F.xxhash64("text"))
+    kept = marked.join(chosen, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__mark")), "left_semi")
+    rest = [quoted(c) for c in docs.columns if c not in ("doc_id", "text")]
+    once = kept.groupBy("doc_id", "__own").agg(F.min(F.struct("text", *rest)).alias("__row")).select("doc_id", "__row.*")
+    blank = F.coalesce(F.trim("text", F.lit(WHITE)), F.lit("")) == ""
+    return once.filter(~blank).unionByName(docs.filter(blank)).select(*[quoted(c) for c in docs.columns])

@@ -65,6 +65,50 @@ def test_near_copies_in_one_or_many_chunks(spark, monkeypatch, chunk):
     assert found(table(spark, rows, extra=False)) == expected
 
 
+def bridged():
+    """Near copies, and links that only rows without an id make; of some groups no row has one."""
+    r = random.Random(9)
+    rows = []
+    for group in range(6):
+        base = prose(r, 60).split(" ")
+        for i, changed in enumerate(([], [0], [0, 59])):
+            copy = list(base)
+            for c in changed:
+                copy[c] = f"x{c}"
+            named = group % 3 != 2 and i != 1
+            rows += [(group * 10 + i if named else None, " ".join(copy), "en", "a", 1)] * (1 + (i == 1) * 2)
+    return rows + [(None, None, "en", "a", 1), (None, " ", "en", "a", 1), (99, rows[0][1], "en", "a", 1)]
+
+
+@pytest.mark.parametrize("few", [J.BROADCAST_ROWS, 0])
+def test_rows_without_an_id_link_others(spark, monkeypatch, few):
+    monkeypatch.setattr(J, "BROADCAST_ROWS", few)
+    rows = bridged()
+    expected = brute(rows)
+    assert sum(e[0] is not None and e[0] != e[2] for e in expected) > 3
+    assert found(table(spark, rows)) == expected
+
+
+def test_survivors_are_one_of_each_group(spark):
+    rows = documents() + bridged()
+    sets = [shingles(r[1]) for r in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if group[i] != group[j] and linked(sets[i], sets[j]):
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    want = sorted((r[0] for r, s in zip(rows, sets) if not s), key=str)
+    for g in set(group):
+        members = [r[0] for r, h, s in zip(rows, group, sets) if h == g and s]
+        if members:
+            want.append(min((m for m in members if m is not None), default=None))
+    kept = J.survivors(table(spark, rows))
+    assert kept.columns == table(spark, rows).columns
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted(want, key=str)
+    assert J.survivors(table(spark, [])).count() == 0
+
+
 def test_empty_table(spark):
     assert found(table(spark, [])) == []
 
