@@ -38,17 +38,9 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that with the smallest id.
-
-    Rows that repeat an id are one document: the first of them in the order of their columns stays. Rows without an
-    id cannot be told apart and stay.
-    """
+    """One document of each group of near duplicates, that with the smallest id (``jaccard.survivors``)."""
     prepared(spark)
-    groups = jaccard.similar(docs.select("doc_id", "text"))
-    staying = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    rest = [c for c in COLUMNS if c != "doc_id"]
-    chosen = docs.join(staying, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row"))
-    return chosen.select("doc_id", "row.*").unionByName(docs.filter("doc_id is null").select(*COLUMNS)).select(*COLUMNS)
+    return jaccard.survivors(docs.select(*COLUMNS))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
