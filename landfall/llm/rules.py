@@ -3,9 +3,9 @@
 Every document that passes the base rules adds its figures to the sketches of its language and
 source: counts of values in bins that grow by a fixed ratio, so a quantile is off by at most that ratio.
 Sketches merge by adding counts, in any order, so a group of any size is combined within tasks before
-the shuffle, and small groups use the sketch of their language or of all documents, which is the
-sum. A threshold lies some quartile distances beyond the quartiles; thresholds are joined to
-the documents, which are then filtered.
+the shuffle. The quartiles of a group are blended with those of its language, and these with those of all documents, by a weight that
+grows with the square of the number of documents, so that one document more never changes much. A threshold lies some quartile distances beyond the
+quartiles; thresholds are joined to the documents, which are then filtered.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ from landfall.llm.stats import with_stats
 
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # percent
-#: Documents that a group needs for thresholds of its own.
-LEAST_GROUP = 200
+#: Documents with which a group weighs as much as the larger group it is part of.
+HALF = 100
 #: Quartile distances between a quartile and the threshold beyond it.
 REACH = 5.0
 SMALLEST, RATIO = 1e-4, 1.02
@@ -83,7 +83,7 @@ def _quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def thresholds(sketch: DataFrame, least_group: int = LEAST_GROUP, reach: float = REACH) -> DataFrame:
+def thresholds(sketch: DataFrame, half: int = HALF, reach: float = REACH) -> DataFrame:
     """``lang``, ``source`` and for each figure its ``_high`` and ``_low`` threshold; one row per group."""
     own = _quartiles(sketch, ["lang", "source"])
     by_lang = _quartiles(sketch, ["lang"]).select(
@@ -94,10 +94,11 @@ def thresholds(sketch: DataFrame, least_group: int = LEAST_GROUP, reach: float =
         overall, F.col("figure") == F.col("g")
     )
 
-    def pick(q: str) -> Column:
-        return F.when(F.col("docs") >= least_group, F.col(q)).when(F.col("docs_l") >= least_group, F.col(f"{q}_l")).otherwise(F.col(f"{q}_g"))
+    def blended(q: str) -> Column:
+        own, lang = (F.col(n) * F.col(n) / (F.col(n) * F.col(n) + half * half) for n in ("docs", "docs_l"))
+        return own * F.col(q) + (1 - own) * (lang * F.col(f"{q}_l") + (1 - lang) * F.col(f"{q}_g"))
 
-    quartiles = merged.select("lang", "source", "figure", pick("q1").alias("q1"), pick("q3").alias("q3"))
+    quartiles = merged.select("lang", "source", "figure", blended("q1").alias("q1"), blended("q3").alias("q3"))
     columns = []
     for f in _figures():
         here = F.col("figure") == f.name
@@ -107,16 +108,16 @@ def thresholds(sketch: DataFrame, least_group: int = LEAST_GROUP, reach: float =
     return quartiles.groupBy("lang", "source").agg(*columns)
 
 
-def judged(docs: DataFrame, least_group: int = LEAST_GROUP, reach: float = REACH) -> DataFrame:
+def judged(docs: DataFrame, half: int = HALF, reach: float = REACH) -> DataFrame:
     """Per document: ``doc_id``, the counts, ``base_failed`` and ``kept``.
 
     A null or empty text has no words and fails the base rules. Null languages and sources are
     groups like others. A group none of whose documents passes the base rules has no thresholds and
-    needs none. An empty table gives no rows. Other columns are not looked at.
+    needs none. Repeated rows are judged each by itself, very long texts whole. An empty table gives no rows. Other columns are not looked at.
     """
     named = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"))
     stats = stored(with_stats(named, ("doc_id", "lang", "source")), "rule-stats")
-    limits = stored(thresholds(stored(sketches(stats), "sketches"), least_group, reach), "thresholds")
+    limits = stored(thresholds(stored(sketches(stats), "sketches"), half, reach), "thresholds")
     within = F.lit(True)
     for f in _figures():
         within = within & F.coalesce(f.value <= F.col(f"{f.name}_high"), F.lit(True))
