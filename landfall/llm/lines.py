@@ -24,19 +24,24 @@ def key_hash(key: Column) -> Column:
     return F.struct(F.xxhash64(key).alias("a"), F.xxhash64(F.lit(1), key).alias("b"))
 
 
+def _mark() -> Column:
+    return F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
+
+
 def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
 def shared_keys(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS) -> DataFrame:
-    """``doc_id`` and the hashes (``drops``) of the keys whose lines that document loses.
+    """``doc_id``, ``mark`` and the hashes (``drops``) of the keys whose lines that document loses.
 
-    Only hashes and ids are shuffled. A key that very many documents hold is combined in each
+    ``mark`` is null but for rows without an id, which it tells apart by a hash of their text, so that their keys are not gathered in one
+    place. Only hashes and ids are shuffled. A key that very many documents hold is combined in each
     task before the count, and its rows are not shuffled by key for the join that follows.
     """
-    line = docs.select("doc_id", F.explode(F.array_distinct(F.transform(_lines(F.col("text")), line_key))).alias("key"))
+    line = docs.select("doc_id", _mark().alias("mark"), F.explode(F.array_distinct(F.transform(_lines(F.col("text")), line_key))).alias("key"))
     held = stored(
-        line.filter(F.char_length("key") >= least_chars).select("doc_id", key_hash(F.col("key")).alias("h")).select("doc_id", "h.*"),
+        line.filter(F.char_length("key") >= least_chars).select("doc_id", "mark", key_hash(F.col("key")).alias("h")).select("doc_id", "mark", "h.*"),
         "line-keys",
     )
     # A null id counts as one document, below all others.
@@ -48,7 +53,7 @@ def shared_keys(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int
     )
     over = stored(counted.filter(F.col("n") + F.col("none") >= least_docs).select("a", "b", "rows", "last"), "shared-keys")
     losing = join_counted(held, over, ["a", "b"], "rows", held.count()).filter(~F.col("doc_id").eqNullSafe(F.col("last")))
-    return losing.groupBy("doc_id").agg(F.collect_set(F.struct("a", "b")).alias("drops"))
+    return losing.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("a", "b")).alias("drops"))
 
 
 def without_shared_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS) -> DataFrame:
@@ -59,9 +64,9 @@ def without_shared_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_
     Names of the two counts that ``docs`` has already get an underscore.
     """
     n_lines, n_dropped = fresh(docs, "n_lines", "n_dropped")
-    owner, drops, kept = fresh(docs, "line_owner", "drops", "kept_lines")
-    found = shared_keys(docs, least_chars, least_docs).select(F.col("doc_id").alias(owner), F.col("drops").alias(drops))
-    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col(owner)), "left")
+    owner, mark, drops, kept = fresh(docs, "line_owner", "line_mark", "drops", "kept_lines")
+    found = shared_keys(docs, least_chars, least_docs).select(F.col("doc_id").alias(owner), F.col("mark").alias(mark), F.col("drops").alias(drops))
+    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col(owner)) & _mark().eqNullSafe(F.col(mark)), "left")
     lines = _lines(F.col("text"))
     stays = F.filter(lines, lambda line: ~F.array_contains(F.col(drops), key_hash(line_key(line))))
     cleaned = joined.withColumn(kept, F.when(F.col(drops).isNull(), lines).otherwise(stays))

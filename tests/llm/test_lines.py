@@ -35,6 +35,16 @@ def test_all_cases_against_plain_loops(spark, monkeypatch, hot_keys):
     assert Counter(tuple(r) for r in got.collect()) == expected
 
 
+def test_rows_without_an_id_lose_lines_by_their_own_text(spark):
+    line = "a line of more than forty characters that many documents hold"
+    rows = [(i, f"own {i}\n{line}", "en", "a", 1) for i in range(6)] + [(None, f"no id {i % 3}\n{line}\n{'x' * 50} {i % 3}", "en", "a", 1) for i in range(30)]
+    docs = table(spark, rows, extra=False)
+    drops = L.shared_keys(docs).filter("doc_id is null").collect()
+    assert len(drops) == 3 and all(len(r["drops"]) == 1 for r in drops)
+    got = L.without_shared_lines(docs).select("doc_id", "text", "n_lines", "n_dropped")
+    assert Counter(tuple(r) for r in got.collect()) == brute(rows)
+
+
 def test_other_columns_stay(spark):
     docs = table(spark)
     got = L.without_shared_lines(docs)
