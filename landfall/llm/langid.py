@@ -19,13 +19,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.common import fresh, quoted
+from landfall.llm.common import fresh, quoted, stored
 from landfall.llm.words import slices
 
 BITS = 16
 SIZE = 1 << BITS
 #: Labelled texts to fit on, at most on average, in equal parts for each language.
 SAMPLE = 4000
+#: Bytes of the hashes and shares of these texts, but for a longer single one.
+SAMPLE_BYTES = 64 << 20
 EPOCHS = 2
 RATE, SMOOTH, L1, L2 = 0.5, 1.0, 0.02, 0.01
 TIMES = 100.0
@@ -107,7 +109,8 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 def sample(docs: DataFrame, limit: int = SAMPLE) -> list[tuple[str, bool, np.ndarray, np.ndarray]]:
     """Labelled texts as language, whether to calibrate on it, hashes and shares, in a fixed order.
 
-    Each language gives its part of ``limit`` at most, on average, chosen by a hash of the id.
+    Each language gives its part of ``limit``, chosen by a hash of the id and the text, so that texts that share an id or have none are chosen each by
+    itself. No more than ``limit`` texts come here and no more than ``SAMPLE_BYTES`` of what is learned of them: those of the least hashes.
     """
     counts = {r["lang"]: r["n"] for r in docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
@@ -115,7 +118,7 @@ def sample(docs: DataFrame, limit: int = SAMPLE) -> list[tuple[str, bool, np.nda
     share = F.lit(0.0)
     for lang, n in counts.items():
         share = F.when(F.col("lang") == lang, min(1.0, limit / len(counts) / n)).otherwise(share)
-    chance = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "lang"), F.lit(1 << 32))
+    chance = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "lang", F.xxhash64("text")), F.lit(1 << 32))
     chosen = docs.withColumn("chance", chance).filter(F.col("chance") < share * float(1 << 32))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,7 +137,15 @@ def sample(docs: DataFrame, limit: int = SAMPLE) -> list[tuple[str, bool, np.nda
                     names=["lang", "chance", "hashes", "shares"],
                 )
 
-    rows = chosen.select("lang", "text", "chance").mapInArrow(work, "lang string, chance bigint, hashes binary, shares binary").collect()
+    drawn = stored(chosen.select("lang", "text", "chance").mapInArrow(work, "lang string, chance bigint, hashes binary, shares binary"), "language-sample")
+    # Within its language a text's turn is its place among those that may come, so that a cut takes from all languages alike.
+    turn = (F.col("chance") / (share * float(1 << 32))).alias("turn")
+    size = F.octet_length("hashes") + F.octet_length("shares")
+    first = drawn.select(turn, size.alias("size")).orderBy("turn", "size").limit(limit).collect()
+    if not first:
+        return []
+    taken = min(len(first), max(1, int(np.searchsorted(np.cumsum([r["size"] for r in first]), SAMPLE_BYTES, "right"))))
+    rows = drawn.select("*", turn).filter(F.col("turn") <= first[taken - 1]["turn"]).orderBy("turn", size, "lang", "hashes").limit(taken).collect()
     rows.sort(key=lambda r: (r["chance"] * 0x9E3779B1 % (1 << 32), r["lang"], r["hashes"]))
     return [(r["lang"], r["chance"] % 5 == 0, np.frombuffer(r["hashes"], "<u2").astype(np.int64), np.frombuffer(r["shares"], "<f4").astype(np.float64)) for r in rows]
 
