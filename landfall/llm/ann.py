@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -84,14 +85,11 @@ def cosines(vectors: np.ndarray, norms: np.ndarray, query: np.ndarray) -> np.nda
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """``vec_id`` and ``embedding`` of the rows that take part, each once."""
+    """``vec_id`` and ``embedding`` of the rows that take part."""
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = vectors.filter(F.col("vec_id").isNotNull() & fine & F.exists("embedding", lambda x: x != 0)).select(
+    return vectors.filter(F.col("vec_id").isNotNull() & fine & F.exists("embedding", lambda x: x != 0)).select(
         F.col("vec_id").cast("bigint"), F.col("embedding").cast("array<double>")
     )
-    sizes = rows.groupBy(F.size("embedding").alias("dim")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("dim")).limit(1)
-    dim = sizes.collect()
-    return rows.filter(F.size("embedding") == (dim[0]["dim"] if dim else 0))
 
 
 def entries(rows: DataFrame, keep: int) -> DataFrame:
@@ -220,11 +218,20 @@ def nearest(vectors: DataFrame, every: int, k: int = 5, within: float = WITHIN)
     """The ``k`` nearest other rows of each row whose id is divisible by ``every``.
 
     Returns ``query_id``, ``rank``, ``vec_id`` and ``score``. Rows without an id and vectors that are null,
-    empty or zero, hold a null or non-finite component, or have another length than most, take no part.
-    A row that repeats id and vector counts once. Ties go to the smaller id. Where there are fewer
-    other rows than ``k``, all are returned; an empty table gives no rows.
+    empty or zero or hold a null or non-finite component take no part. Vectors of different lengths have no cosine, so
+    each length is searched by itself. A row that repeats id and vector counts once. Ties go to the smaller id. Where there are fewer
+    other rows than ``k``, all are returned; an empty table gives no rows. Only ``vec_id`` and ``embedding`` are looked at.
     """
     rows = stored(usable(vectors).distinct(), "vectors")
+    lengths = sorted(r["n"] for r in rows.select(F.size("embedding").alias("n")).distinct().collect())
+    found = [_nearest(rows.filter(F.size("embedding") == n) if len(lengths) > 1 else rows, every, k, within) for n in lengths]
+    if not found:
+        return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score"))
+    return reduce(lambda a, b: a.unionByName(b), found)
+
+
+def _nearest(rows: DataFrame, every: int, k: int, within: float) -> DataFrame:
+    """The nearest rows of stored vectors of one length."""
     total = rows.count()
     keep = k + 1
     table = stored(entries(rows, keep), "entries")
@@ -235,8 +242,6 @@ def nearest(vectors: DataFrame, every: int, k: int = 5, within: float = WITHIN)
     drawn = table.filter(chance < int(min(1.0, SAMPLE / max(1, n)) * (1 << 32))).orderBy("entry").select("embedding").collect()
     if not drawn:
         drawn = table.select("embedding").limit(1).collect()
-    if not drawn:
-        return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")).limit(0)
     codes = learned(units(np.array([r["embedding"] for r in drawn])))
     shared = table.sparkSession.sparkContext.broadcast(codes)
 

@@ -58,6 +58,14 @@ def test_few_rows_ties_and_unusable_vectors(spark):
     assert found(frame.filter("vec_id = 4"), 10) == {}
 
 
+def test_every_length_is_searched_by_itself(spark):
+    """A few vectors of another length than most are no less found."""
+    rows = vectors(200) + [(1000 + i, [1.0, float(i)]) for i in range(8)] + [(1100, [5.0] * 3)]
+    got = found(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"), 100)
+    assert [i for i, _ in got[1000]] == [1001, 1002, 1003, 1004, 1005]
+    assert 1100 not in got and {0, 100} <= got.keys() and all(i < 200 for i, _ in got[0])
+
+
 def test_very_common_vector(spark):
     r = random.Random(2)
     rows = vectors(200) + [(1000 + i, vectors(1)[0][1]) for i in range(300)]
