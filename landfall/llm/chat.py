@@ -26,12 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from landfall.llm.common import stored
+from landfall.llm.common import attach, stored
 
 ROLES = ("system", "user", "assistant")
 #: Rows of a chunk (in the sample: turns), and conversations to count chances on, at most on average.
 CHUNK = 2048
 SAMPLE = 5000
+#: Bytes of the texts of the sample, but for a longer single conversation.
+SAMPLE_BYTES = 64 << 20
 SEED = 17
 #: Blocks that one task decodes together, on average, and chunks that one sorts.
 GROUP = 4000
@@ -158,14 +160,22 @@ def fit(turns: list[tuple]) -> Model:
 
 
 def learned(conversations: DataFrame, limit: int = SAMPLE) -> Model:
-    """A model from a bounded sample of conversations, chosen by a hash of their ids. Of each, a chunk is read."""
+    """A model from a bounded sample of conversations, chosen by a hash of their ids. Of each, a chunk is read.
+
+    No more than ``limit`` conversations and ``SAMPLE_BYTES`` of their texts come here: those of the least hashes.
+    """
     known = conversations.filter(F.col("role").isin(*ROLES) & F.col("conv_id").isNotNull())
     share = min(1.0, limit / max(1, known.agg(F.approx_count_distinct("conv_id")).first()[0]))
     chance = F.pmod(F.xxhash64(F.lit(SEED), "conv_id"), F.lit(1 << 32))
     rows = known.filter((chance < int(share * (1 << 32))) & F.coalesce(F.col("turn") < CHUNK, F.lit(False)))
     # Repeated rows teach nothing more, and turns that repeat a number are left to the first of them.
-    once = rows.dropDuplicates(["conv_id", "turn"]).select("conv_id", "turn", "role", "text")
-    return fit([tuple(r) for r in once.orderBy("conv_id", "turn").collect()])
+    once = rows.dropDuplicates(["conv_id", "turn"]).select("conv_id", "turn", "role", "text", chance.alias("chance"))
+    drawn = stored(once, "chat-sample")
+    sizes = drawn.groupBy("chance").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("size"))
+    first = sizes.orderBy("chance").limit(limit).collect()
+    taken = min(len(first), max(1, int(np.searchsorted(np.cumsum([r["size"] for r in first]), SAMPLE_BYTES, "right"))))
+    kept = drawn.filter(F.col("chance") <= (first[taken - 1]["chance"] if first else -1))
+    return fit([tuple(r) for r in kept.select("conv_id", "turn", "role", "text").orderBy("conv_id", "turn").collect()])
 
 
 def rendered(role: str, text: str) -> str:
@@ -187,10 +197,9 @@ def numbered(rows: DataFrame, total: int) -> DataFrame:
     counts = placed.groupBy("conv_id", part.alias("part")).agg(F.count(F.lit(1)).alias("rows"), F.min("place").alias("low"))
     earlier = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("rows").over(earlier), F.lit(0)) - F.col("low")
-    starts = counts.select(F.col("conv_id").alias("start_id"), F.col("part").alias("start_part"), before.alias("shift"))
-    same = F.col("conv_id").eqNullSafe(F.col("start_id")) & (part == F.col("start_part"))
+    starts = stored(counts.select("conv_id", "part", before.alias("shift")), "long-starts")
     chunk = F.floor((F.col("place") + F.col("shift")) / CHUNK).alias("chunk")
-    return placed.join(F.broadcast(stored(starts, "long-starts")), same).select("conv_id", "turn", "text", chunk, "place")
+    return attach(placed.withColumn("part", part), starts, ["conv_id", "part"], "place").select("conv_id", "turn", "text", chunk, "place")
 
 
 def parsed(conversations: DataFrame, model: Model) -> DataFrame:
@@ -202,12 +211,12 @@ def parsed(conversations: DataFrame, model: Model) -> DataFrame:
     a ``conv_id`` are one conversation. An empty table gives no rows; other columns are not looked at.
     """
     shared = conversations.sparkSession.sparkContext.broadcast(model)
-    rows = conversations.select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), "text")
-    sizes = rows.groupBy("conv_id").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > CHUNK)
-    long = F.broadcast(stored(sizes.select(F.col("conv_id").alias("long_id")), "long-conversations"))
-    null_safe = F.col("conv_id").eqNullSafe(F.col("long_id"))
+    plain = conversations.select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), "text")
+    sizes = plain.groupBy("conv_id").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > CHUNK)
+    long = stored(sizes.select("conv_id", F.lit(True).alias("long")), "long-conversations")
     total = conversations.count()
-    of_long = numbered(rows.join(long, null_safe, "left_semi"), total)
+    rows = attach(plain.withColumn("spot", F.monotonically_increasing_id()), long, ["conv_id"], "spot").drop("spot")
+    of_long = numbered(rows.filter("long").drop("long"), total)
 
     def prepared(table: pa.Table):
         turns, texts = table.column("turn").to_pylist(), table.column("text").to_pylist()
@@ -241,10 +250,10 @@ def parsed(conversations: DataFrame, model: Model) -> DataFrame:
 
     tables = of_long.groupBy("conv_id", "chunk").applyInArrow(summary, "conv_id bigint, chunk bigint, best array<double>")
     known = tables.groupBy("conv_id").applyInPandas(borders, "long_id bigint, long_chunk bigint, entry int, leave int")
-    known = stored(known, "borders")
-    joined = of_long.join(known, null_safe & (F.col("chunk") == F.col("long_chunk")), "left").drop("long_id", "long_chunk")
+    known = stored(known.withColumnsRenamed({"long_id": "conv_id", "long_chunk": "chunk"}), "borders")
+    joined = attach(of_long, known, ["conv_id", "chunk"], "place")
     none = [F.lit(None).cast(t).alias(c) for c, t in (("place", "bigint"), ("entry", "int"), ("leave", "int"))]
-    short = rows.join(long, null_safe, "left_anti").select("*", F.lit(0).cast("bigint").alias("chunk"), *none)
+    short = rows.filter("long is null").drop("long").select("*", F.lit(0).cast("bigint").alias("chunk"), *none)
     joined = joined.unionByName(short)
 
     def turns(table: pa.Table) -> pa.Table:
