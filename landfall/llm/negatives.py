@@ -31,8 +31,8 @@ ROWS, ANCHORS = 8192, 1024
 SCALE = 256
 #: The shares of a positive's score, in percent, between which a negative's score lies.
 LEAST, MOST = 50, 95
-#: Sums of products beyond this may not fit a long; such pairs are not bounded but scored.
-SAFE = float(1 << 62)
+#: Sums of products beyond this may not fit a long; such pairs are not bounded but scored. Those below the other one are exact in doubles.
+SAFE, EXACT = float(1 << 62), float(1 << 53)
 
 INDEX = "row bigint, vec_id bigint, label bigint, dim int, parts binary, summary binary"
 
@@ -121,6 +121,11 @@ def side(table: pa.Table, dim: int) -> Side:
     return Side(*[table.column(c).to_numpy() for c in ("row", "vec_id", "label")], parts, levels, norm)
 
 
+def _dot(matrix: np.ndarray, vector: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The products of some rows of a matrix with a vector. Where they are most rows, all are computed, which saves gathering them."""
+    return (matrix @ vector)[rows] if 2 * len(rows) > len(matrix) else matrix[rows] @ vector
+
+
 class Bounds:
     """Scores of one anchor with the rows of a block, as closely as they are known: between ``low`` and ``high``."""
 
@@ -128,6 +133,8 @@ class Bounds:
         self.rows, self.anchors = rows, anchors
         (mean, deviation), (mean_, deviation_) = anchors.levels[0], rows.levels[0]
         self.middle, self.apart = mean @ mean_.T, deviation @ deviation_.T
+        self.numbers = rows.parts.astype(np.float64)
+        self.exact = rows.norm.max(initial=0.0) * anchors.norm.max(initial=0.0) < EXACT
 
     def start(self, anchor: int) -> None:
         size = self.anchors.norm[anchor] * self.rows.norm
@@ -142,11 +149,16 @@ class Bounds:
         """Bounds of the next level for some rows; at the last one their scores."""
         if level < len(LEVELS):
             (mean, deviation), (mean_, deviation_) = self.anchors.levels[level], self.rows.levels[level]
-            middle, apart = mean_[rows] @ mean[self.anchor], deviation_[rows] @ deviation[self.anchor] + self.slack[rows]
+            middle, apart = _dot(mean_, mean[self.anchor], rows), _dot(deviation_, deviation[self.anchor], rows) + self.slack[rows]
             self.low[rows] = np.maximum(self.low[rows], middle - apart)
             self.high[rows] = np.minimum(self.high[rows], middle + apart)
         else:
-            self.score[rows] = (self.rows.parts[rows] * self.anchors.parts[self.anchor]).sum(axis=1)
+            anchor = self.anchors.parts[self.anchor]
+            if self.exact:
+                # All sums are whole numbers that a double holds, in whatever order they are added.
+                self.score[rows] = _dot(self.numbers, anchor.astype(np.float64), rows).astype(np.int64)
+            else:
+                self.score[rows] = (self.rows.parts[rows] * anchor).sum(axis=1)
             self.low[rows] = self.high[rows] = self.score[rows]
         self.level[rows] = level
 

@@ -60,6 +60,19 @@ def test_unusable_rows_few_rows_lengths_and_repeats(spark):
     assert got(frame.filter("vec_id = 0")) == []
 
 
+def test_scores_are_exact_in_doubles_and_in_longs():
+    rng = np.random.default_rng(2)
+    for size in (1 << 8, 1 << 20, 1 << 27):
+        parts = rng.integers(-size, size, (60, 32))
+        own = negatives.Side(np.arange(60), np.arange(60), np.zeros(60, int), parts, negatives.summaries(parts), np.sqrt((parts.astype(float) ** 2).sum(axis=1)))
+        bounds = negatives.Bounds(own, own)
+        assert bounds.exact == (size < 1 << 24)
+        for rows in (np.arange(60), np.arange(0, 60, 7)):
+            bounds.start(3)
+            bounds.refine(rows, len(negatives.LEVELS))
+            assert bounds.score[rows].tolist() == (parts[rows] @ parts[3]).tolist()
+
+
 def test_components_too_large_for_bounds_or_sums(spark):
     rows = [(0, [1e7, 1.0], 1), (1, [1e7, 2.0], 1), (2, [7e6, 1.0], 2), (3, [1e36, -1e36], 2), (50, [1e30, 1.0], 1)]
     found = [r for r in got(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")) if r[0] == 0]
