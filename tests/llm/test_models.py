@@ -115,6 +115,148 @@ def test_rules_adapt_to_the_source_and_keep_clean_documents(spark):
     assert all(v for k, v in kept.items() if k < 1000) and kept[1002]
 
 
+def test_frequencies_and_weights_are_those_of_plain_loops(spark, monkeypatch):
+    """TF-IDF and follow-the-regularised-leader, one text, hash and language at a time, in dictionaries."""
+    import math
+
+    monkeypatch.setattr(langid, "EPOCHS", 2)
+    r = random.Random(6)
+    rows = [(i, prose(r, r.randint(1, 12), "abcde" if i % 3 else "cdefg"), "en" if i % 3 else "de", "a", 1) for i in range(40)]
+    docs = table(spark, rows, extra=False)
+    frequencies, n_texts = langid.document_frequencies(docs)
+    counted = Counter(h for _, text, *_ in rows for h in set(langid.grams(pa.array([text]))[0].tolist()))
+    assert n_texts == 40 and {h: n for h, n in enumerate(frequencies.tolist()) if n} == counted
+    drawn = langid.sample(docs, 1000)
+    model = langid.fit(drawn, frequencies, n_texts)
+    langs, z, n = ["de", "en"], {}, {}
+
+    def weight(key):
+        if abs(z.get(key, 0.0)) <= langid.L1:
+            return 0.0
+        return (math.copysign(langid.L1, z[key]) - z[key]) / ((langid.SMOOTH + math.sqrt(n[key])) / langid.RATE + langid.L2)
+
+    inverse = lambda h: (math.log((1.0 + n_texts) / (1.0 + counted[h])) + 1.0) * langid.TIMES
+    for _ in range(2):
+        for lang, aside, hashes, shares in drawn:
+            if aside:
+                continue
+            x = {int(h): s * inverse(int(h)) for h, s in zip(hashes, shares)} | {-1: 1.0}
+            own = {(h, k): weight((h, k)) for h in x for k in langs}
+            e = {k: math.exp(sum(v * own[h, k] for h, v in x.items())) for k in langs}
+            for k in langs:
+                p = e[k] / sum(e.values()) - (k == lang)
+                for h, v in x.items():
+                    g, key = v * p, (h, k)
+                    z[key] = z.get(key, 0.0) + g - (math.sqrt(n.get(key, 0.0) + g * g) - math.sqrt(n.get(key, 0.0))) / langid.RATE * own[key]
+                    n[key] = n.get(key, 0.0) + g * g
+    assert model.langs == langs
+    assert model.bias == pytest.approx([weight((-1, k)) for k in langs], abs=1e-9)
+    for h in counted:
+        assert model.weights[h] == pytest.approx([weight((h, k)) * inverse(h) for k in langs], rel=1e-4, abs=1e-6)
+
+
+def test_summed_equations_are_solved_as_whole_ones(spark):
+    r = np.random.default_rng(7)
+    rows = []
+    for i in range(400):
+        stats = [int(v) for v in r.integers(0, 200, len(quality.STATS))]
+        rows.append((*stats, float(stats[0] + r.integers(0, 80) > 140), i % 5 == 0))
+    shape = ", ".join(f"{name} bigint" for name in quality.STATS) + ", label double, calibration boolean"
+    model = quality.fit(spark.createDataFrame(rows, shape).repartition(6))
+    train = np.array([x[:-2] for x in rows if not x[-1]], float)
+    label = np.array([x[-2] for x in rows if not x[-1]])
+    x = quality.figures(train)
+    mean, scale = x.mean(axis=0), np.sqrt(np.maximum(x.var(axis=0), 1e-6))
+    assert model.mean == pytest.approx(mean) and model.scale == pytest.approx(scale, rel=1e-5)
+    z = quality.fourier((x - mean) / scale)
+    ridge = np.sqrt(np.append(np.full(z.shape[1] - 1, quality.PENALTY), 1e-3))
+    whole = np.linalg.lstsq(np.concatenate((z, np.diag(ridge))), np.concatenate((label, np.zeros(z.shape[1]))), rcond=None)[0]
+    assert z @ model.weights == pytest.approx(z @ whole, abs=1e-3)
+
+
+def quartiles_of(values):
+    values = sorted(values)
+    return [values[-(-len(values) * q // 4) - 1] for q in (1, 3)]
+
+
+def test_thresholds_are_those_of_exact_quartiles(spark):
+    """Blended by the documents of the group and of its language, and at most a bin away."""
+    rng = np.random.default_rng(4)
+    rows, figures = [], {}
+    for lang, source, n in (("en", "a", 300), ("en", "b", 30), ("de", "a", 3)):
+        for i in range(n):
+            length = int(rng.integers(4, 9)) + (source == "b") * 3
+            text = " ".join("".join(rng.choice(list("abcdefghij"), length)) for _ in range(60))
+            rows.append((len(rows), text, lang, source, 1))
+            figures.setdefault((lang, source), []).append(float(length))
+    stats = rules.with_stats(table(spark, rows, extra=False), ("doc_id", "lang", "source"))
+    got = {(r["lang"], r["source"]): (r["word_length_low"], r["word_length_high"]) for r in rules.thresholds(rules.sketches(stats)).collect()}
+    langs = {lang: sum((v for (l, _), v in figures.items() if l == lang), []) for lang, _ in figures}
+    everything = quartiles_of(sum(langs.values(), []))
+    for (lang, source), values in figures.items():
+        own, of_lang = (len(v) ** 2 / (len(v) ** 2 + rules.HALF**2) for v in (values, langs[lang]))
+        q1, q3 = (own * a + (1 - own) * (of_lang * b + (1 - of_lang) * c) for a, b, c in zip(quartiles_of(values), quartiles_of(langs[lang]), everything))
+        distance = max(q3 - q1, 0.5) * rules.REACH
+        assert got[lang, source] == pytest.approx((q1 - distance, q3 + distance), abs=0.03 * (q3 + 2 * distance))
+
+
+def test_thresholds_move_little_with_one_document_more(spark):
+    sketch = [("en", "a", "word_length", 550, 99), ("en", "b", "word_length", 600, 5000)]
+    shape = "lang string, source string, figure string, bin int, n bigint"
+    highs = []
+    for more in (0, 1, 2):
+        rows = [(l, s, f, b, n + more * (s == "a")) for l, s, f, b, n in sketch]
+        highs.append(next(r["word_length_high"] for r in rules.thresholds(spark.createDataFrame(rows, shape)).collect() if r["source"] == "a"))
+    assert abs(highs[1] - highs[0]) < 0.01 * highs[0] and abs(highs[2] - highs[1]) < 0.01 * highs[0]
+
+
+def test_the_sample_of_languages_is_bounded_and_tells_texts_apart(spark, monkeypatch):
+    rows = [(None, f"text number {i} of one id, the and it", "en" if i % 3 else "de", "a", 1) for i in range(600)]
+    docs = table(spark, rows, extra=False)
+    assert 0 < len({tuple(h.tolist()) for _, _, h, _ in langid.sample(docs, 60)}) <= 60
+    whole = langid.sample(docs, 10_000)
+    assert len(whole) == 600
+    size = sum(6 * len(h) for _, _, h, _ in whole)
+    monkeypatch.setattr(langid, "SAMPLE_BYTES", size // 3)
+    some = langid.sample(docs, 10_000)
+    assert sum(6 * len(h) for _, _, h, _ in some) <= size // 3 and 150 < len(some) < 250
+    assert 0.2 < sum(lang == "de" for lang, *_ in some) / len(some) < 0.45
+
+
+@pytest.mark.parametrize("act", ["found", "redacted"])
+def test_many_spans_of_one_text_take_little_time(spark, act):
+    text = "\n".join(f"10.{i % 256}.{i // 256}.7 user{i}@host{i}.example.org +1 (555) {i % 900 + 100}-{i % 9000 + 1000}" for i in range(7000))
+    assert len(pii.base_spans(text)) > 20_000
+    docs = table(spark, [(1, text, "en", "a", 1)], extra=False)
+    model = pii.learned(table(spark, [(i, f"call +1 555 {200 + i} {1000 + i} or mail a{i}@b.org from 10.0.0.{i}", "en", "a", 1) for i in range(60)], extra=False))
+    start = time.perf_counter()
+    taken = pii.Taken(pii.base_spans(text))
+    candidates = pii.candidates(text)
+    assert sum(taken.covers(span) for span in candidates) > 10_000
+    assert time.perf_counter() - start < 5
+    rows = getattr(pii, act)(docs, model).collect()
+    if act == "found":
+        base = [(s["kind"], s["start"], s["end"]) for s in rows[0]["spans"] if s["base"]]
+        assert sorted(base) == sorted(pii.base_spans(text))
+    else:
+        assert rows[0]["text"].count("[email]") >= 7000 and "@" not in rows[0]["text"]
+
+
+def test_taken_spans_are_those_of_plain_loops():
+    r = random.Random(3)
+    for _ in range(200):
+        taken, plain = pii.Taken(), []
+        for _ in range(30):
+            kind, a = r.choice(pii.KINDS), r.randrange(80)
+            span = (kind, a, a + r.randint(1, 6))
+            over = any(k == kind and s < span[2] and a < e for k, s, e in plain)
+            assert taken.covers(span) == over
+            assert taken.holds(*span) == any(k == kind and s <= a and span[2] <= e for k, s, e in plain)
+            if not over:
+                taken.add(span)
+                plain.append(span)
+
+
 def test_sketches_merge_by_addition(spark):
     from landfall.llm.stats import with_stats
 
