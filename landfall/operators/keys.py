@@ -53,8 +53,9 @@ def key_map(names: DataFrame, columns: Sequence[str], known: DataFrame | None =
         first = asked.groupBy(KEY).agg(F.min_by(F.struct(*columns, TEXT), TEXT).alias("name"))
         given = stored(first.select("name.*", KEY), "new-keys")
         held = held.unionByName(given)
-        pending = stored(pending.join(given.select(TEXT), TEXT, "left_anti").select(*columns, TEXT), "new-names")
-        left, turn = pending.count(), turn + 1
+        left, turn = left - given.count(), turn + 1
+        if left:
+            pending = stored(pending.join(given.select(TEXT), TEXT, "left_anti").select(*columns, TEXT), "new-names")
     return held.select(*columns, F.col(KEY).alias(key))
 
 

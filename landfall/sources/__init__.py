@@ -2,7 +2,7 @@
 
 from landfall.sources.feeds import read_arrivals, read_feed, unread_report
 from landfall.sources.layout import LakeLayout, RawLayout
-from landfall.sources.snapshots import Snapshot, Transaction, expire, snapshot
+from landfall.sources.snapshots import Snapshot, Transaction, adopt, expire, snapshot
 from landfall.sources.tables import read_months, read_table, write_months, write_table
 
 __all__ = [
@@ -10,6 +10,7 @@ __all__ = [
     "RawLayout",
     "Snapshot",
     "Transaction",
+    "adopt",
     "expire",
     "read_arrivals",
     "read_feed",

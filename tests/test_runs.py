@@ -226,6 +226,15 @@ def test_command_line(spark, raw, tmp_path, capsys):
     main([*base, "month", "jan16"])
     main([*base, "backfill", "2016-02", "2016-03", "--together", "2"])
     assert "SUCCESS" in capsys.readouterr().out
+    main([*base, "backfill", "2016-02", "2016-03", "--skip-unchanged"])
+    main([*base, "backfill", "2016-02", "2016-03", "--skip-unchanged"])
+    assert capsys.readouterr().out.count("immigration_demographic") == 2
+    main(["--lake", base[3], "references"])
+    assert "immigration.state_code in state_code" in capsys.readouterr().out
+    main(["--lake", base[3], "expire", "--keep", "1"])
+    assert "removed immigrant/run=" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        main(["--lake", base[3], "month", "jan16"])
     lake = S.LakeLayout(str(tmp_path / "lake"))
     months = table(spark, lake, "immigration_demographic").select("i94_dt").distinct()
     assert rows(months) == {("jan16",): 1, ("feb16",): 1, ("mar16",): 1}

@@ -112,6 +112,18 @@ def test_plain_writers_of_published_tables_commit(spark, tmp_path):
     assert rows(table) == {(1, "jan16"): 1}
 
 
+def test_months_in_a_plain_path_are_taken_in_and_never_hidden(spark, tmp_path):
+    root = str(tmp_path)
+    S.write_months(numbers(spark, 1, 11), f"{root}/t")
+    with S.Transaction(spark, root) as run, pytest.raises(ValueError, match="adopt"):
+        run.write_months("t", numbers(spark, 2), ["jan16"])
+    assert S.adopt(spark, root, ["t", "u"]) == 1 and S.adopt(spark, root, ["t", "u"]) is None
+    with S.Transaction(spark, root) as run:
+        run.write_months("t", numbers(spark, 2), ["jan16"])
+        run.commit()
+    assert rows(S.read_table(spark, f"{root}/t")) == {(2, "jan16"): 1, (11, "feb16"): 1}
+
+
 def test_old_snapshots_expire_with_what_only_they_have(spark, tmp_path):
     root = str(tmp_path)
     for value in range(1, 5):
