@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from landfall.llm.common import BROADCAST_ROWS, WHITE, attach, quoted, stored
+from landfall.llm.common import BROADCAST_ROWS, attach, quoted, stored
 from landfall.llm.components import components
 from landfall.llm.words import mix, slices, words_of
 
@@ -448,11 +448,19 @@ def survivors(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> D
     nothing and all stay.
     """
     rows = _grouped(docs.select("doc_id", "text"), size, percent).filter("node is not null")
-    first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")).alias("first"))
-    chosen = stored(first.select(F.col("first.doc_id").alias("__id"), F.col("first.mark").alias("__mark")).distinct(), "survivors")
-    marked = docs.withColumn("__own", F.xxhash64("text"))
-    kept = marked.join(chosen, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__mark")), "left_semi")
+    texts = stored(rows.groupBy("component", "doc_id", "mark").agg(F.count(F.lit(1)).alias("rows")), "texts")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")).alias("first")
+    told = attach(texts, stored(texts.groupBy("component").agg(least), "firsts"), ["component"], "doc_id")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark"))
+    # Most texts stay as they are, so the rows of the others are looked up and not theirs.
+    others = told.withColumn("repeats", stays).filter(~stays | (F.col("rows") > 1))
+    others = stored(others.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__own"), "repeats"), "others")
+    columns = [F.col(quoted(c)) for c in docs.columns]
+    named = docs.select(*columns, F.col("doc_id").cast("bigint").alias("__id"), F.xxhash64("text").alias("__own"), F.monotonically_increasing_id().alias("__spot"))
+    marked = attach(named, others.withColumnRenamed("repeats", "__repeats"), ["__id", "__own"], "__spot")
+    kept = marked.filter("__repeats is null").select(*columns)
+    if others.filter("repeats").isEmpty():
+        return kept
     rest = [quoted(c) for c in docs.columns if c not in ("doc_id", "text")]
-    once = kept.groupBy("doc_id", "__own").agg(F.min(F.struct("text", *rest)).alias("__row")).select("doc_id", "__row.*")
-    blank = F.coalesce(F.trim("text", F.lit(WHITE)), F.lit("")) == ""
-    return once.filter(~blank).unionByName(docs.filter(blank)).select(*[quoted(c) for c in docs.columns])
+    once = marked.filter("__repeats").groupBy("doc_id", "__own").agg(F.min(F.struct("text", *rest)).alias("__row"))
+    return kept.unionByName(once.select("doc_id", "__row.*").select(*columns))

@@ -55,12 +55,13 @@ def test_markers_split_blocks_into_turns(spark):
     text = "User: what is it?\nAssistant: it is this\nand that\n**Human:** thanks"
     frame = spark.createDataFrame([(1, 0, None, text), (1, 1, None, "[system] be kind"), (2, 0, None, "<|user|>\nhello")], SCHEMA).withColumn("part", F.lit(9))
     got = sorted(tuple(r) for r in chat.parsed(frame, model()).drop("rendered").collect())
-    assert [g[:5] for g in got[:4]] == [
+    assert [g[:5] for g in got[:3]] == [
         (1, 0, 0, "user", "what is it?"),
         (1, 0, 1, "assistant", "it is this\nand that"),
         (1, 0, 2, "user", "thanks"),
-        (1, 1, 0, "system", "[system] be kind"),
-    ] or [g[3] for g in got[:3]] == ["user", "assistant", "user"]
+    ]
+    # No sign follows the word in brackets, so it is no marker.
+    assert got[3][:3] == (1, 1, 0) and got[3][4] == "[system] be kind"
     assert got[-1][3] == "user" and got[-1][4].strip() == "hello"
 
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from cases import FOLD, documents, prose, table, words
 
+from landfall.llm import common
 from landfall.llm import jaccard as J
 from landfall.llm.components import components
 
@@ -89,7 +90,9 @@ def test_rows_without_an_id_link_others(spark, monkeypatch, few):
     assert found(table(spark, rows)) == expected
 
 
-def test_survivors_are_one_of_each_group(spark):
+@pytest.mark.parametrize("few", [common.BROADCAST_ROWS, 0])
+def test_survivors_are_one_of_each_group(spark, monkeypatch, few):
+    monkeypatch.setattr(common, "BROADCAST_ROWS", few)
     rows = documents() + bridged()
     sets = [shingles(r[1]) for r in rows]
     group = list(range(len(rows)))
