@@ -147,11 +147,11 @@ def headers(spark: SparkSession, paths: Sequence[str], separator: str = ",", quo
     begun = lines.filter((F.col("file_block_start") == 0) & (F.trim("value") != ""))
     first = begun.groupBy("file_path").agg(F.first("value").alias("line"))
     rows = first.groupBy("line").agg(F.array_sort(F.collect_list("file_path")).alias("files")).orderBy(F.col("files")[0]).collect()
-    out = []
+    found: dict[tuple[str, ...], list[str]] = {}
     for row in rows:
         names = next(csv.reader([row["line"].removeprefix("\ufeff")], delimiter=separator, quotechar=quote))
-        out.append(Header(tuple(names), tuple(_escaped(f) for f in row["files"])))
-    return out
+        found.setdefault(tuple(names), []).extend(_escaped(f) for f in row["files"])
+    return [Header(names, tuple(files)) for names, files in found.items()]
 
 
 def _text_schema(names: Sequence[str]) -> StructType:

@@ -39,6 +39,8 @@ def test_quoted_headers_and_blank_first_lines(spark, tmp_path):
     found = headers(spark, [path], ";")
     assert [h.names for h in found] == [("code", "the; country"), ("the; country", "code")]
     assert [len(h.files) for h in found] == [1, 1]
+    same = write(tmp_path / "d", a='"code";"country"\n1;ONE\n', b="code;country\n2;TWO\n")
+    assert [(h.names, len(h.files)) for h in headers(spark, [same], ";")] == [(("code", "country"), 2)]
 
 
 def test_unread_texts_of_several_files(spark, tmp_path):

@@ -2,6 +2,7 @@
 
 import json
 import os
+import shutil
 
 import feeds
 import pytest
@@ -21,13 +22,20 @@ def raw(spark, tmp_path_factory):
     return feeds.file_raw(spark, tmp_path_factory.mktemp("raw"))
 
 
-@pytest.fixture
-def lake(spark, raw, tmp_path):
-    layout = S.LakeLayout(str(tmp_path / "lake"))
+@pytest.fixture(scope="module")
+def refreshed(spark, raw, tmp_path_factory):
+    layout = S.LakeLayout(str(tmp_path_factory.mktemp("lakes") / "lake"))
     P.refresh_dimensions(spark, raw, layout)
     return layout
 
 
+@pytest.fixture
+def lake(refreshed, tmp_path):
+    """A lake of its own. Manifests name folders relative to it, so a copy is as good."""
+    shutil.copytree(refreshed.root, tmp_path / "lake")
+    return S.LakeLayout(str(tmp_path / "lake"))
+
+
 def contents(spark, lake, names):
     return {name: rows(S.read_table(spark, lake.path(name))) for name in names}
 
