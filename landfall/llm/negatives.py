@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -105,7 +106,7 @@ class Side:
 
 def side(table: pa.Table, dim: int) -> Side:
     """The rows of a unit that have a length."""
-    table = table.filter(pa.compute.equal(table.column("dim"), dim)).sort_by([("vec_id", "ascending"), ("row", "ascending")])
+    table = table.filter(pc.equal(table.column("dim"), dim)).sort_by([("vec_id", "ascending"), ("row", "ascending")])
 
     def packed(name: str, kind: str, width: int) -> np.ndarray:
         return np.frombuffer(b"".join(table.column(name).to_pylist()), kind).reshape(table.num_rows, width)

@@ -1,6 +1,10 @@
 import math
+import os
+import subprocess
+import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +77,26 @@ def test_scores_are_exact_in_doubles_and_in_longs():
             assert bounds.score[rows].tolist() == (parts[rows] @ parts[3]).tolist()
 
 
+def test_units_work_in_a_python_that_has_imported_nothing_else():
+    """As in a fresh worker, which gets its rows as a stream: what the step needs it imports itself."""
+    parts = np.arange(6, dtype="<i8").reshape(3, 2)
+    packed = np.concatenate([x for pair in negatives.summaries(parts) for x in pair], axis=1)
+    table = pa.table(
+        {"row": [7, 8, 9], "vec_id": [2, 1, 3], "label": [1, 1, 2], "dim": pa.array([2, 2, 2], pa.int32()), "parts": [r.tobytes() for r in parts], "summary": [r.tobytes() for r in packed]}
+    )
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as stream:
+        stream.write_table(table)
+    code = """
+import sys, pyarrow as pa
+from landfall.llm import negatives
+own = negatives.side(pa.ipc.open_stream(sys.stdin.buffer).read_all(), 2)
+assert own.row.tolist() == [8, 7, 9] and own.parts.tolist() == [[2, 3], [0, 1], [4, 5]]
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    subprocess.run([sys.executable, "-c", code], input=sink.getvalue().to_pybytes(), check=True, cwd=root, timeout=60)
+
+
 def test_components_too_large_for_bounds_or_sums(spark):
     rows = [(0, [1e7, 1.0], 1), (1, [1e7, 2.0], 1), (2, [7e6, 1.0], 2), (3, [1e36, -1e36], 2), (50, [1e30, 1.0], 1)]
     found = [r for r in got(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")) if r[0] == 0]
