@@ -3,7 +3,7 @@
 Generators with high recall propose spans of four kinds, which may overlap. The strict ones among
 them, with the checks of their kind, are the base and always stay. The loose ones propose looser forms:
 addresses without a domain's dot or with the sign spelled out, numbers with other separators. Boosted trees judge
-these by their format and context. They learn on a bounded sample of candidates from weak labels. Right are
+these by their format and context. They learn on the candidates of all documents, counted by their features, from weak labels. Right are
 candidates inside a base span of their kind and base spans rewritten into the looser forms. Wrong are candidates that
 fail the check of their kind, lie inside a base span of another kind, follow a word for a version or an id or belong
 to a longer list of numbers, and rewritten base spans that were made to fail. All other candidates have no label
@@ -24,14 +24,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.boosting import Trees, boosted
-from landfall.llm.common import quoted
-from landfall.llm.quality import isotonic
+from landfall.llm.boosting import Gathered, Spread, Trees, grown, unpacked
+from landfall.llm.common import quoted, stored
+from landfall.llm.quality import _summed, isotonic
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents and candidates to learn from, at most on average.
-SAMPLE_DOCS = 20_000
-SAMPLE_SPANS = 20_000
+#: Counted rows of examples up to which trees are grown on the driver; beyond, the same sums are taken by Spark.
+GATHERED_ROWS = 50_000
+#: Examples of a batch.
+BATCH_SPANS = 4096
+#: Margins are told apart in so many steps, so that few have to be counted.
+MARGIN_STEPS = 1024
 #: The least calibrated chance, and share of right ones among those set aside, of added spans.
 LEAST_CHANCE = 0.5
 LEAST_PRECISION = 0.99
@@ -163,7 +166,11 @@ class Model:
     least: dict[str, float]
 
     def chances(self, x: np.ndarray) -> np.ndarray:
-        return np.interp(self.trees.margins(x), self.knots, self.levels) if len(x) else np.empty(0)
+        return np.interp(_steps(self.trees, x) / MARGIN_STEPS, self.knots, self.levels) if len(x) else np.empty(0)
+
+
+def _steps(trees: Trees, x: np.ndarray) -> np.ndarray:
+    return np.round(trees.margins(x) * MARGIN_STEPS).astype(np.int64)
 
 
 class Taken:
@@ -275,60 +282,89 @@ def rewritten(text: str, base: list[tuple[str, int, int]]) -> Iterator[tuple[lis
                         yield features(near, *own), own == span and right and not cue, start, own[0]
 
 
-def fit(x: np.ndarray, y: np.ndarray, aside: np.ndarray) -> Model | None:
-    """A model of candidates ``x`` with weak labels ``y``; None where no right one can be learned or none is set aside."""
-    train = ~aside
-    if not (y[train].any() and aside.any()):
-        return None
-    trees = boosted(x[train], y[train].astype(float))
-    margin = trees.margins(x[aside])
-    order = np.argsort(margin, kind="stable")
-    truth = y[aside][order].astype(float)
-    knots, levels = isotonic(margin[order], truth, np.ones(len(order)))
-    model = Model(trees, knots, levels, {})
-    chance = model.chances(x[aside])
-    for k, kind in enumerate(KINDS):
-        own = x[aside][:, k] == 1
+def calibrated(trees: Trees, counted: Iterable[tuple[int, int, int, int]]) -> Model:
+    """A model from counts of the examples set aside: kind, step of the margin, how many and how many right ones."""
+    kind, step, n, good = np.array(sorted(counted), dtype=np.int64).T
+    steps, place = np.unique(step, return_inverse=True)
+    model = Model(trees, *isotonic(steps / MARGIN_STEPS, np.bincount(place, good), np.bincount(place, n)), {})
+    chance = np.interp(step / MARGIN_STEPS, model.knots, model.levels)
+    for k, name in enumerate(KINDS):
+        levels, at = np.unique(chance[kind == k], return_inverse=True)
+        many, right = (np.bincount(at, c[kind == k], len(levels)) for c in (n, good))
+        precision = right[::-1].cumsum() / many[::-1].cumsum()
         least = 2.0
-        for level in np.unique(chance[own])[::-1]:
-            if level < LEAST_CHANCE or y[aside][own][chance[own] >= level].mean() < LEAST_PRECISION:
+        for level, share in zip(levels[::-1], precision):
+            if level < LEAST_CHANCE or share < LEAST_PRECISION:
                 break
             least = float(level)
         # Where all of the least chance and more are right enough, those between it and the lowest seen are too.
-        likely = chance[own] >= LEAST_CHANCE
-        model.least[kind] = LEAST_CHANCE if likely.any() and least == chance[own][likely].min() else least
+        likely = levels[levels >= LEAST_CHANCE]
+        model.least[name] = LEAST_CHANCE if len(likely) and least == likely.min() else least
     return model
 
 
-def _sampled(docs: DataFrame) -> list:
-    share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
-    chosen = docs.filter(F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 32)) < int(share * (1 << 32)))
+def _told(text: str) -> Iterator[tuple[list[float], bool, int, str]]:
+    """The examples of a text: features, label, start and kind."""
+    base = base_spans(text)
+    taken = Taken(base)
+    for span in candidates(text):
+        y = label(text, span, taken)
+        if y is not None:
+            yield features(text, *span), y, span[1], span[0]
+    yield from rewritten(text, base)
+
+
+def examples(docs: DataFrame) -> DataFrame:
+    """The examples of all documents, counted: features ``x``, whether they are set ``aside``, ``n`` and how many of these are right, ``good``."""
+
+    def packed(order: list[int], rows: list[list[float]], labels: list[bool]) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.list_(pa.float64()), pa.bool_()]
+        return pa.record_batch([pa.array(v, t) for v, t in zip((order, rows, labels), kinds)], names=["key", "x", "y"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order, rows, labels = [], [], []
         for batch in batches:
-            rows, labels, order = [], [], []
-            for text, key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for value, key in zip(batch.column(0), batch.column(1).to_pylist()):
+                text = value.as_py()
                 if text and WORTH.search(text):
-                    base = base_spans(text)
-                    taken = Taken(base)
-                    told = ((span, label(text, span, taken)) for span in candidates(text))
-                    known = [(features(text, *span), y, span[1], span[0]) for span, y in told if y is not None]
-                    for x, y, start, kind in (*known, *rewritten(text, base)):
+                    for x, y, start, kind in _told(text):
                         rows.append(x)
                         labels.append(y)
                         order.append((key * 31 + start * 1_000_003 + KINDS.index(kind)) & 0x7FFFFFFFFFFFFFFF)
-            kinds = [pa.int64(), pa.list_(pa.float64()), pa.bool_()]
-            yield pa.record_batch([pa.array(v, t) for v, t in zip((order, rows, labels), kinds)], names=["key", "x", "y"])
+                        if len(rows) == BATCH_SPANS:
+                            yield packed(order, rows, labels)
+                            order, rows, labels = [], [], []
+        yield packed(order, rows, labels)
 
-    found = chosen.select("text", F.xxhash64("doc_id").alias("key")).mapInArrow(work, "key bigint, x array<double>, y boolean")
-    return found.withColumn("order", F.xxhash64(F.lit(SEED), "key")).orderBy("order", "key", "y").limit(SAMPLE_SPANS).collect()
+    told = docs.select("text", F.xxhash64("doc_id").alias("key")).mapInArrow(work, "key bigint, x array<double>, y boolean")
+    aside = F.pmod(F.xxhash64(F.lit(SEED), "key"), F.lit(4)) == 0
+    return told.groupBy("x", aside.alias("aside")).agg(F.count(F.lit(1)).alias("n"), F.count_if("y").alias("good"))
 
 
 def learned(docs: DataFrame) -> Model | None:
-    """A model from the candidates of a bounded sample of ``docs``."""
-    rows = _sampled(docs.select("doc_id", "text"))
-    x = np.array([r["x"] for r in rows], dtype=float).reshape(-1, N_FEATURES)
-    return fit(x, np.array([r["y"] for r in rows], dtype=bool), np.array([r["order"] % 4 == 0 for r in rows], dtype=bool))
+    """A model from the candidates of all of ``docs``; None where no right one can be learned or none is set aside.
+
+    Examples with the same features are one row with its counts. Few such rows are gathered, of many the sums that a level of
+    a tree needs are taken by Spark; both ways give the same trees.
+    """
+    rows = stored(examples(docs.select("doc_id", "text")), "personal-examples")
+    held = {r["aside"]: r for r in rows.groupBy("aside").agg(F.count(F.lit(1)).alias("rows"), F.sum("good").alias("good")).collect()}
+    if True not in held or False not in held or not held[False]["good"]:
+        return None
+    training = rows.filter(~F.col("aside")).select("x", "n", "good")
+    if held[False]["rows"] <= GATHERED_ROWS:
+        trees = grown(Gathered(*unpacked(training.toArrow().combine_chunks().to_batches()[0])))
+    else:
+        trees = grown(Spread(training, _summed))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = unpacked(batch)[0]
+            kind = x[:, : len(KINDS)].argmax(axis=1)
+            yield pa.record_batch([pa.array(kind), pa.array(_steps(trees, x)), batch.column("n"), batch.column("good")], names=["kind", "step", "n", "good"])
+
+    steps = rows.filter("aside").select("x", "n", "good").mapInArrow(work, "kind bigint, step bigint, n bigint, good bigint")
+    return calibrated(trees, map(tuple, steps.groupBy("kind", "step").agg(F.sum("n"), F.sum("good")).collect()))
 
 
 SPANS = "array<struct<kind: string, start: int, end: int, base: boolean, chance: double>>"

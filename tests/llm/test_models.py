@@ -385,3 +385,20 @@ def test_trees_learn_an_interaction():
     y = ((x[:, 0] > 0) & (x[:, 2] < 0.5)).astype(float)
     margin = boosted(x[:1500], y[:1500]).margins(x[1500:])
     assert ((margin > 0) == (y[1500:] == 1)).mean() > 0.97
+
+
+def test_personal_data_is_learned_from_all_documents_in_either_way(spark, monkeypatch):
+    """Each example of each document counts, however many there are, and trees do not depend on where sums are taken."""
+    rows = [(i, f"call +1 555 {200 + i % 700} {1000 + i} or mail a{i}@b.org from 10.0.{i % 250}.1, version 1.2.{i % 9}.300", "en", "a", 1) for i in range(1500)]
+    docs = table(spark, rows, extra=False)
+    told = sum(1 for row in rows for _ in pii._told(row[1]))
+    assert told > 20_000
+    assert pii.examples(docs).groupBy().sum("n").first()[0] == told
+    gathered = pii.learned(docs)
+    monkeypatch.setattr(pii, "GATHERED_ROWS", 0)
+    monkeypatch.setattr(pii.grown, "__defaults__", (4, 0.2, 1.0))
+    spread = pii.learned(docs)
+    assert len(spread.trees.leaves) == 4
+    for name in ("features", "bounds", "leaves"):
+        for a, b in zip(getattr(gathered.trees, name), getattr(spread.trees, name)):
+            assert a.tolist() == b.tolist()
