@@ -267,3 +267,13 @@ def test_whole_numbers_and_decimals_are_compared_exactly(spark):
             ("12345678901234567891", None), ("1.50", "half"), ("007", "seven"), ("x", None), ("123456789012345678901234567890123456789", None)
         }
         assert {r["k"] for r in attach_lookup(exact, text.withColumn("there", F.lit(1)), ["k"], "inner", policy=policy).select(F.col("r").alias("k")).collect()} == {"half", "seven"}
+
+
+def test_tasks_of_hot_keys_are_not_put_together_again(spark):
+    """Few bytes of hot keys on both sides make very many rows, so each unit stays a task of its own."""
+    left = spark.range(4000).selectExpr("id % 5 as k", "id as a")
+    right = spark.range(500).selectExpr("id % 5 as k", "id as b")
+    joined = attach_lookup(left, right, ["k"], policy=JoinPolicy(broadcast_rows=0, hot_share=0.02, spread=True), spread=("left", "right"))
+    sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in sizes) == 4000 * 100
+    assert len(sizes) > 1 and max(r["count"] for r in sizes) < 4000 * 100 / 2
