@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landfall.operators.joins import DEFAULT, JoinPolicy, attach_lookup
+from landfall.operators.joins import DEFAULT, JoinPolicy, as_type, common_types
 
 PASS, FAIL = "SUCCESS", "FAIL"
 MONTH = "i94_dt"
@@ -101,30 +101,44 @@ class Reference:
 def orphan_report(references: Sequence[Reference], *, policy: JoinPolicy = DEFAULT) -> DataFrame:
     """For each reference the rows, those with a null in the key, those whose key the parent lacks, such keys, and the status.
 
-    A key becomes one row with its count before it meets the parent, so one that holds much of the table weighs no more than another;
-    the parent's distinct keys are broadcast if their counted size allows, otherwise both are shuffled. A null refers to nothing and is no
-    orphan. Keys of two types are compared as in a join.
+    Rows of both tables are counted by key together, so each is read and shuffled once, after it was counted in its own task: a key
+    that holds much of a table weighs no more than another, and keys of the parent are few where they are few in number. So there is
+    nothing to broadcast or to spread, whatever the ``policy``. A null refers to nothing and is no orphan. Keys of two types are compared as in a join.
     """
     reports = []
     for r in references:
         keys = [f"k{i}" for i in range(len(r.keys))]
         own = r.child.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(r.keys, keys)])
+        there = r.parent.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(r.parent_keys or r.keys, keys)])
+        types = common_types(own, there, keys)
+        one = F.lit(1).cast("bigint")
+        if types:
+            # Keys of the child that are one in the common type are still as many keys.
+            own = own.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        else:
+            own = own.withColumn("n", one)
         complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-        counted = own.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        there = r.parent.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(r.parent_keys or r.keys, keys)]).distinct()
-        found = attach_lookup(counted, there.withColumn("there", F.lit(True)), keys, "left", policy=policy, spread=())
-        orphan = complete & F.col("there").isNull()
+
+        def read(table: DataFrame) -> list[Column]:
+            return [as_type(F.col(k), table.schema[k].dataType, types[k]).alias(k) if k in types else F.col(k) for k in keys]
+
+        full = F.when(complete, F.col("n")).otherwise(0)
+        asked = own.select(*read(own), (F.col("n") - full).alias("n_null"), full.alias("n_full"), F.when(complete, 1).otherwise(0).cast("bigint").alias("n_keys"), F.lit(False).alias("there"))
+        none = F.lit(0).cast("bigint")
+        given = there.select(*read(there), none.alias("n_null"), none.alias("n_full"), none.alias("n_keys"), F.lit(True).alias("there"))
+        met = asked.union(given).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("n_null", "n_full", "n_keys")], F.max("there").alias("there"))
+        # A key that the common type cannot hold is null here and equals nothing.
+        lacking = ~(F.col("there") & complete)
+        n_keys = F.col("n_keys") if types else F.when(F.col("n_keys") > 0, 1).otherwise(0)
 
         def total(n: Column) -> Column:
             return F.coalesce(F.sum(n), F.lit(0)).cast("bigint")
 
-        # Texts that read as the same number are one key of the parent, so a row of the child can be found twice.
-        once = found.groupBy(*keys).agg(F.first("n").alias("n"), F.first("there").alias("there"))
-        counts = once.agg(
-            total(F.col("n")).alias("n_rows"),
-            total(F.when(~complete, F.col("n"))).alias("n_null"),
-            total(F.when(orphan, F.col("n"))).alias("n_orphans"),
-            F.count_if(orphan).alias("n_orphan_keys"),
+        counts = met.agg(
+            total(F.col("n_null") + F.col("n_full")).alias("n_rows"),
+            total(F.col("n_null")).alias("n_null"),
+            total(F.when(lacking, F.col("n_full"))).alias("n_orphans"),
+            total(F.when(lacking, n_keys)).alias("n_orphan_keys"),
         )
         reports.append(counts.select(F.lit(r.name).alias("reference"), "*", _status(F.col("n_orphans") == 0).alias("status")))
     return _stack(reports)

@@ -160,3 +160,13 @@ def test_orphans_with_hot_and_null_keys(spark, policy):
         ("renamed", 6, 0, 1, 1, "FAIL"): 1,
         ("empty", 0, 0, 0, 0, "SUCCESS"): 1,
     }
+
+
+def test_orphans_are_found_by_one_count_of_both_tables(spark):
+    parent = spark.createDataFrame([(1, 2.0), (3, None), (3, 4.5)], "id bigint, x double")
+    child = spark.createDataFrame([("1", 2), ("01", 2), ("x", 2), ("x", 4), (None, 9), ("3", None)], "id string, x bigint")
+    spark.sparkContext.setJobGroup("orphans", "building the report")
+    report = O.orphan_report([Reference("one", child, ["id"], parent), Reference("two", child, ["id", "x"], parent), Reference("same", parent, ["id"], parent)])
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("orphans")
+    assert "Join" not in report._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(report) == {("one", 6, 1, 2, 1, "FAIL"): 1, ("two", 6, 2, 2, 2, "FAIL"): 1, ("same", 3, 0, 0, 0, "SUCCESS"): 1}
