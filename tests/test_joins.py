@@ -277,3 +277,31 @@ def test_tasks_of_hot_keys_are_not_put_together_again(spark):
     sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert sum(r["count"] for r in sizes) == 4000 * 100
     assert len(sizes) > 1 and max(r["count"] for r in sizes) < 4000 * 100 / 2
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_blocks_of_hot_keys_are_a_plain_join(spark, how):
+    """Keys hot on both sides, of two zeros, nulls, copies of rows, more rows than a block and a side of keys alone."""
+    policy = JoinPolicy(broadcast_rows=0, hot_share=0.05, spread=True)
+    zeros = "case when id % 5 = 0 then null when id % 5 < 3 then 0D when id % 5 = 3 then -0D else id end"
+    left = spark.range(1500).selectExpr(f"{zeros} as k", "id % 400 as a", "case when id % 2 = 0 then id end as c")
+    right = spark.range(700).selectExpr(f"{zeros} as k", "'x' as s", "id % 90 as b")
+    signed = F.col("k").cast("string").alias("k")
+    for there in (right, right.select("k")):
+        got, want = attach_lookup(left, there, ["k"], how, policy=policy, spread=("left", "right")), left.join(there, ["k"], how)
+        assert "__right" in plan(got)
+        assert got.schema.simpleString() == want.schema.simpleString()
+        others = [F.col(f"`{c}`") for c in want.columns if c != "k"]
+        assert rows(got.select(signed, *others).groupBy("k", *others).count()) == rows(want.select(signed, *others).groupBy("k", *others).count())
+
+
+def test_many_rows_of_hot_keys_are_small_in_a_file(spark, tmp_path):
+    """Rows come in blocks of few values of both sides, so that the pages of a columnar file compress."""
+    left = spark.range(1000).selectExpr("id % 2 as k", "id as a")
+    right = spark.range(10000).selectExpr("id % 2 as k", "id as b")
+    policy = JoinPolicy(broadcast_rows=0, hot_share=0.02, spread=True)
+    joined = attach_lookup(left, right, ["k"], policy=policy, spread=("left", "right"))
+    joined.write.option("parquet.page.row.count.limit", 5000).parquet(str(tmp_path / "t"))
+    size = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1000 * 5000
+    assert size < 0.4 * 1000 * 5000
