@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.java_gateway import JavaObject
 from pyspark.sql import SparkSession
 
+#: Files that are open at a time where only their beginnings are read.
+OPEN_FILES = 16
+
 
 def _target(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
     """The path and its file system."""
@@ -50,6 +55,35 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def first_lines(spark: SparkSession, addresses: Sequence[str], separator: bytes | None = None) -> list[tuple[str, str | None]]:
+    """The path of each file and its first line that is not blank; nothing for a file without any.
+
+    Lines end as in Spark's text source, compressed files are read by the codec of their name, and a mark of the encoding
+    is no part of a line. No file is read beyond the buffer that holds that line.
+    """
+    hadoop, uri = spark._jvm.org.apache.hadoop, spark._jvm.java.net.URI
+    settings = spark._jsparkSession.sessionState().newHadoopConf()
+    codecs = hadoop.io.compress.CompressionCodecFactory(settings)
+
+    def first(address: str) -> tuple[str, str | None]:
+        path = hadoop.fs.Path(uri(address))
+        stream, codec = path.getFileSystem(settings).open(path), codecs.getCodec(path)
+        try:
+            plain = stream if codec is None else codec.createInputStream(stream)
+            lines = hadoop.util.LineReader(plain, *([] if separator is None else [separator]))
+            line, mark = hadoop.io.Text(), "\ufeff"
+            while lines.readLine(line):
+                text, mark = line.toString().removeprefix(mark), ""
+                if text.strip(" "):
+                    return path.toString(), text
+            return path.toString(), None
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(OPEN_FILES) as pool:
+        return list(pool.map(first, addresses))
+
+
 def put_text(spark: SparkSession, path: str, text: str) -> bool:
     """Put a small file whole by a rename. Whether it was put: not if there is one of that name already."""
     target, system = _target(spark, path)

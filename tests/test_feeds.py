@@ -1,5 +1,7 @@
 """Feeds of several files and of many months."""
 
+import gzip
+
 import pytest
 from helpers import plan, rows
 from pyspark.sql import functions as F
@@ -43,6 +45,38 @@ def test_quoted_headers_and_blank_first_lines(spark, tmp_path):
     assert [(h.names, len(h.files)) for h in headers(spark, [same], ";")] == [(("code", "country"), 2)]
 
 
+def test_headers_read_first_lines_only(spark, tmp_path):
+    path = write(tmp_path / "c", a="code;country\n1;ONE\n", b="code;country\n" + "2;two\n" * 100_000, c="country;code\n" + "three;3\n" * 100_000)
+    spark.sparkContext.setJobGroup("headers-only", "headers of three files")
+    try:
+        found = headers(spark, [path], ";")
+    finally:
+        for key in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
+            spark.sparkContext.setLocalProperty(key, None)
+    assert [(h.names, len(h.files)) for h in found] == [(("code", "country"), 2), (("country", "code"), 1)]
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("headers-only")
+
+
+def test_headers_of_odd_files(spark, tmp_path):
+    folder = tmp_path / "c"
+    folder.mkdir()
+    odd = {
+        "a 1.csv": b"\xef\xbb\xbfcode;country\r\n1;ONE\r\n",
+        "b%41.csv": b"\xef\xbb\xbf\n  \ncountry;code\n",
+        "c[1].csv.gz": gzip.compress(b"code;country\n1;ONE\n"),
+        "d.csv": b"",
+        "e.csv": b"\n \n",
+        "f.csv": b"country;code",
+        "_hidden.csv": b"x;y\n",
+    }
+    for name, content in odd.items():
+        (folder / name).write_bytes(content)
+    found = {h.names: [f.rpartition("/")[2] for f in h.files] for h in headers(spark, [str(folder)], ";")}
+    assert found == {("code", "country"): ["a 1.csv", "c\\[1\\].csv.gz"], ("country", "code"): ["b%41.csv", "f.csv"]}
+    ended = write(tmp_path / "d", a="code;country||1;ONE||", b=" ||country;code||TWO;2||")
+    assert [h.names for h in headers(spark, [ended], ";", lineSep="||")] == [("code", "country"), ("country", "code")]
+
+
 def test_unread_texts_of_several_files(spark, tmp_path):
     path = write(tmp_path / "c", a="code;country\nx;ONE\n", b="country;code\ny;2\n")
     assert rows(unread_report(spark, path, SCHEMA, ";")) == {("code", 2, 1): 1}
