@@ -7,7 +7,6 @@ import time
 from collections import Counter
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from cases import documents, prose, table, words
 from pyspark.sql import functions as F
@@ -304,6 +303,52 @@ def test_base_spans_are_those_of_the_plain_patterns():
     assert [s[0] for s in pii.base_spans(text)] == ["email", "ip", "card", "phone"] and pii.base_spans(text) == plain_spans(text)
 
 
+# The loose patterns as they read over whole texts.
+PLAIN_LOOSE = (
+    ("email", r"(?<![^\s@<>()\[\]\"',;:])[^\s@<>()\[\]\"',;:]{1,64}@[^\s@<>()\[\]\"',;:]{1,255}"),
+    ("email", r"[A-Za-z0-9._%+-]{1,64}\x20?[(\[{]at[)\]}]\x20?[A-Za-z0-9-]{1,63}(?:\x20?(?:\.|[(\[{]dot[)\]}])\x20?[A-Za-z0-9-]{1,63}){1,8}"),
+    ("ip", r"(?<![0-9.])[0-9]{1,5}(?:\x20?[.,]\x20?[0-9]{1,5}){3}(?![0-9])"),
+    ("card", r"(?<![0-9])[0-9](?:[\x20./-]{0,2}[0-9]){11,22}(?![0-9])"),
+    ("phone", r"(?<![0-9+])\(?[0-9]{2,4}\)?(?:[\x20./-]{1,2}[0-9]{2,5}){2,4}(?![0-9])"),
+    ("phone", r"(?<![0-9])(?:\+|00)\x20?[0-9](?:[\x20()./-]{0,2}[0-9]){7,15}(?![0-9])"),
+)
+
+
+def test_candidates_are_those_of_the_plain_loose_patterns():
+    r = random.Random(5)
+    pieces = ["0", "1", "29", "00", "+", "(", ")", " ", ".", ",", "/", "-", "@", "(at)", " [dot] ", "{at}", "a", "b.c", "é", "\n", ";", "٣", "5" * 30, "a" * 70, "x" * 260, "1.2.3.4", "555-123-4567", "a@b.org"]
+    proposed = Counter()
+    for i in range(20_000):
+        text = "".join(r.choice("0123456789 .,-/()+") for _ in range(r.randint(0, 60))) if i % 2 else "".join(r.choice(pieces) for _ in range(r.randint(0, 30)))
+        plain = sorted({(kind, *found.span()) for kind, pattern in PLAIN_LOOSE for found in re.finditer(pattern, text)})
+        assert pii.candidates(text) == plain, text
+        proposed.update(span[0] for span in plain)
+    assert min(proposed[kind] for kind in pii.KINDS) > 100
+
+
+def test_prose_is_not_searched_by_the_patterns_of_spans(monkeypatch):
+    class Counted:
+        def __init__(self, pattern):
+            self.pattern, self.characters = pattern, 0
+
+        def finditer(self, text, start=0, end=None):
+            self.characters += (len(text) if end is None else end) - start
+            return self.pattern.finditer(text, start, len(text) if end is None else end)
+
+    spelled, numbers = Counted(pii.SPELLED_EMAIL), [(kind, Counted(pattern)) for kind, pattern in pii.LOOSE_NUMBERS]
+    monkeypatch.setattr(pii, "SPELLED_EMAIL", spelled)
+    monkeypatch.setattr(pii, "LOOSE_NUMBERS", numbers)
+    text = "In 1999 some of them, or 2,000 (two) or so, went on. " * 500 + "call 555-123-4567 or a@b.org"
+    assert {kind for kind, _, _ in pii.candidates(text)} == {"phone", "email"}
+    assert spelled.characters == 0 and all(0 < pattern.characters < len(text) / 5 for _, pattern in numbers)
+
+
+def test_personal_data_of_rows_that_repeat_or_lack_a_text(spark):
+    rows = [(1, "mail a@b.org", "en", "a", 1), (1, "mail a@b.org", "en", "a", 1), (None, "10.2.3.4 é", "en", "a", 1), (2, None, "en", "a", 1), (2, "", "en", "a", 1), (3, "prose", "en", "a", 1), (None, None, "en", "a", 1)]
+    got = Counter((r["doc_id"], tuple((s["kind"], s["start"], s["end"], s["base"]) for s in r["spans"])) for r in pii.found(table(spark, rows, extra=False), None).collect())
+    assert got == {(1, (("email", 5, 12, True),)): 2, (None, (("ip", 0, 8, True),)): 1, (2, ()): 2, (3, ()): 1, (None, ()): 1}
+
+
 @pytest.mark.parametrize("text", ["1" * 300_000, "1." * 150_000, "a" * 300_000 + "@", "+1 " + "(" * 200_000, "1 " * 150_000, "a." * 150_000 + "@b", "x@" * 100_000])
 def test_long_runs_take_linear_time(text):
     start = time.process_time()
