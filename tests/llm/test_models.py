@@ -7,6 +7,7 @@ import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import documents, prose, table, words
 from pyspark.sql import functions as F
@@ -343,6 +344,12 @@ def test_prose_is_not_searched_by_the_patterns_of_spans(monkeypatch):
     assert spelled.characters == 0 and all(0 < pattern.characters < len(text) / 5 for _, pattern in numbers)
 
 
+def test_texts_without_candidates_stay_in_arrow():
+    texts = [None, "", "prose (as it is) at [large]", "é 1", "a@b", "x (at) y", "٣ ²", "{at]", "( at )"]
+    assert list(pii._worthy(pa.array(texts))) == [(3, "é 1"), (4, "a@b"), (5, "x (at) y"), (7, "{at]")]
+    assert list(pii._worthy(pa.array([None, ""], pa.large_string()))) == list(pii._worthy(pa.array([], pa.string()))) == []
+
+
 def test_personal_data_of_rows_that_repeat_or_lack_a_text(spark):
     rows = [(1, "mail a@b.org", "en", "a", 1), (1, "mail a@b.org", "en", "a", 1), (None, "10.2.3.4 é", "en", "a", 1), (2, None, "en", "a", 1), (2, "", "en", "a", 1), (3, "prose", "en", "a", 1), (None, None, "en", "a", 1)]
     got = Counter((r["doc_id"], tuple((s["kind"], s["start"], s["end"], s["base"]) for s in r["spans"])) for r in pii.found(table(spark, rows, extra=False), None).collect())
