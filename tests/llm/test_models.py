@@ -356,6 +356,29 @@ def test_personal_data_of_rows_that_repeat_or_lack_a_text(spark):
     assert got == {(1, (("email", 5, 12, True),)): 2, (None, (("ip", 0, 8, True),)): 1, (2, ()): 2, (3, ()): 1, (None, ()): 1}
 
 
+def test_features_are_those_of_plain_counts():
+    r = random.Random(6)
+    text = "".join(r.choice("0123456789 .-/()+@abfx,é٣\n") for _ in range(400))
+    for _ in range(2000):
+        a = r.randrange(380)
+        b = a + r.randint(1, 20)
+        x = dict(zip([*pii.KINDS, *pii.FORMAT], pii.features(text, "card", a, b)))
+        span = text[a:b]
+        groups = [g for g in re.split("[^0-9]+", span) if g]
+        assert x["digits"] == sum(c in "0123456789" for c in span) and x["separators"] == sum(c in " .-/()" for c in span)
+        assert (x["groups"], x["longest"], x["shortest"]) == (len(groups), max(map(len, groups), default=0), min(map(len, groups), default=0))
+        near = text[max(0, a - 4) : b + 4]
+        assert x["hex"] == any(re.fullmatch("[0-9][a-f]|[a-f][0-9]", p + q) for p, q in zip(near, near[1:]))
+
+
+def test_forms_of_a_span_share_the_cue_before_them():
+    text = "please call the office at +1 (743) 555-3824 or write"
+    pii._cue.cache_clear()
+    told = list(pii.rewritten(text, pii.base_spans(text)))
+    kept = pii._cue.cache_info()
+    assert len(told) > 20 and kept.misses <= 4 and kept.hits >= len(told) - 4
+
+
 @pytest.mark.parametrize("text", ["1" * 300_000, "1." * 150_000, "a" * 300_000 + "@", "+1 " + "(" * 200_000, "1 " * 150_000, "a." * 150_000 + "@b", "x@" * 100_000])
 def test_long_runs_take_linear_time(text):
     start = time.process_time()
