@@ -29,7 +29,7 @@ from landfall.operators import (
 from landfall.plans.dimensions import CITY_KEY, airport_dim, city_demographics, city_dim, city_names, city_temperatures, code_table
 from landfall.plans.facts import immigrant, immigration
 from landfall.plans.marts import airport_weather, immigration_demographic
-from landfall.sources import LakeLayout, RawLayout, Transaction, read_arrivals, read_feed, read_table, snapshot, write_months
+from landfall.sources import LakeLayout, RawLayout, Transaction, read_arrivals, read_feed, read_table, snapshot, write_months, write_table
 from landfall.sources.feeds import fingerprints
 from landfall.sources.files import listed, make, remove
 from landfall.sources.layout import DIMENSIONS, MONTHLY
@@ -119,7 +119,7 @@ def run_months(
 
     If a check fails or anything else stops the run the lake keeps what it had, in all tables. Otherwise, or with ``gate`` off, the
     months of all three tables are replaced at once; a month that has no rows in a table then has none in the lake.
-    A row format is decoded once, into a folder of the run; columnar files are read per fact. ``progress`` is called with the
+    A row format is decoded once, into a folder of the run, and the figures of the states are kept there; columnar files are read per fact. ``progress`` is called with the
     name of each table before it is written, ``inputs`` says what each month is made from and is kept with it.
     """
     months = list(months)
@@ -138,12 +138,16 @@ def run_months(
                 tables[name] = run.write_months(getattr(lake, name), table, months, inputs=inputs, **options)
                 return tables[name]
 
+            def kept(figures: DataFrame) -> DataFrame:
+                write_table(figures, f"{scratch}/state_figures")
+                return read_table(spark, f"{scratch}/state_figures", figures.schema)
+
             person = store("immigrant", immigrant(arrivals, F.col("i94_dt")))
             trip = store("immigration", immigration(arrivals, F.col("i94_dt")))
             if gate and run.filled(lake.immigrant) != set(months):
                 require_pass(month_report({"arrivals": person}, months))
             lookups = [_looked_up(spark, run, lake, name) for name in LOOKED_UP]
-            mart = immigration_demographic(person, trip, *lookups, per_row=per_row, policy=policy)
+            mart = immigration_demographic(person, trip, *lookups, per_row=per_row, policy=policy, keep=kept)
             store("immigration_demographic", mart, rebalance=len(months) > 1)
             report = month_report(tables, months)
             report = require_pass(report) if gate else collected(report)

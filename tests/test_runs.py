@@ -113,6 +113,31 @@ def test_a_month_run_twice_is_a_month_run_once(spark, raw, lake):
     assert contents(spark, lake) == once
 
 
+def test_state_figures_are_computed_once_in_a_run(spark, raw, lake, monkeypatch):
+    from landfall.plans import runs
+
+    read, build = [], runs.immigration_demographic
+
+    def watched(*tables, **options):
+        mart = build(*tables, **options)
+        read.extend(mart.inputFiles())
+        return mart
+
+    monkeypatch.setattr(runs, "immigration_demographic", watched)
+    P.run_month(spark, raw, lake, "jan16")
+    assert any("/state_figures/" in f for f in read) and any("/immigrant/" in f for f in read)
+    assert not any("/us_cities_demographics/" in f or "/city/" in f for f in read)
+    assert rows(table(spark, lake, "immigration_demographic")) == rows(
+        build(*[table(spark, lake, t) for t in ("immigrant", "immigration", "country_code", "state_code", "city", "us_cities_demographics")])
+    )
+
+
+def test_a_lake_without_state_figures_gives_an_empty_mart(spark, raw, lake):
+    S.write_table(table(spark, lake, "us_cities_demographics").limit(0), lake.path("us_cities_demographics"))
+    P.run_month(spark, raw, lake, "jan16", gate=False)
+    assert table(spark, lake, "immigrant").count() == 7 and table(spark, lake, "immigration_demographic").count() == 0
+
+
 def test_other_months_stay(spark, raw, lake):
     P.run_month(spark, raw, lake, "jan16")
     january = contents(spark, lake)
